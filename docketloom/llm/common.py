@@ -58,17 +58,29 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """mapInArrow with ``make`` giving the columns of each output batch; empty batches are skipped."""
-    from pyspark.sql.types import _parse_datatype_string
+def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of ``batch`` with at most ``most`` bytes in ``column`` each, but at least one row."""
+    if not batch.num_rows:
+        return
+    _, ends = utf8(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str, column: str = "text") -> DataFrame:
+    """mapInArrow: ``make`` gives the columns of an output batch for each part of a batch with a bounded ``column``."""
     from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
 
     kinds = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                made = make(batch)
+            for part in slices(batch, column):
+                made = make(part)
                 yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for f, x in ((f, made[f.name]) for f in kinds)], schema=kinds)
 
     return df.mapInArrow(run, schema)

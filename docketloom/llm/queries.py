@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets
+from . import packing, secrets, tokenfile
 from .common import table
 
 
@@ -14,5 +14,20 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_secret_scan": op1_secret_scan}
+def tokenizer_path(name: str) -> str:
+    """The place of a public tokenizer's file on this machine; every executor has the same package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_secret_scan": op1_secret_scan, "op5_packing": op5_packing, "op7_token_files": op7_token_files}
 ORACLES: dict[str, str] = {}
