@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, secrets, tokenfile
+from . import decontam, neardup, packing, secrets, tokenfile
 from .common import table
 
 
@@ -14,6 +14,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str) -> str:
     """The place of a public tokenizer's file on this machine; every executor has the same package."""
     import public_tokenizers
@@ -29,5 +37,27 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_secret_scan": op1_secret_scan, "op5_packing": op5_packing, "op7_token_files": op7_token_files}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_decontamination": op2_decontamination,
+    "op5_packing": op5_packing,
+    "op6_near_duplicates": op6_near_duplicates,
+    "op7_token_files": op7_token_files,
+}
+
+_OP6 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n na ON na.doc_id = x JOIN n nb ON nb.doc_id = y WHERE 100 * i >= 85 * (na.n + nb.n - i)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT documents.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, documents.doc_id = component_id AS kept
+FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id JOIN c ON c.x = documents.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op6_near_duplicates": _OP6}
