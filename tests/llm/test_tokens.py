@@ -4,11 +4,13 @@ from functools import cache
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docketloom.llm import packing, tokenfile
+from docketloom.llm.common import utf8
 from docketloom.llm.tokens import Encoder, encoder
 
 P = pytest.importorskip("public_tokenizers")
@@ -35,7 +37,7 @@ def plain(kind, texts, end):
 def test_encoder_equals_library(kind):
     made = Encoder(P.path(FILES[kind]), kind)
     texts = [*ODD, "it's a  \n test\n\nx", "<|endoftext|> hi", "don't'll we'll", " 12 345\n67", "ΑΣ. ΑΣ x", "é a ́b", "x\x01y \x01", "a\xa0 b", "\xa0 a"]
-    ids, ends = made.encode(texts)
+    ids, ends = made.encode(*utf8(pa.array(texts, pa.string())))
     assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [x[:-1] for x in plain(kind, texts, 0)]
 
 
@@ -43,7 +45,7 @@ def test_encoder_equals_library(kind):
 @given(st.lists(st.text(alphabet=" \n\t'sab1.,é\xa0Z<|>\x00\x01", max_size=30), max_size=5))
 def test_encoder_on_random_texts(texts):
     for kind in FILES:
-        ids, ends = encoder(P.path(FILES[kind]), kind).encode(texts)
+        ids, ends = encoder(P.path(FILES[kind]), kind).encode(*utf8(pa.array(texts, pa.string())))
         assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [x[:-1] for x in plain(kind, texts, 0)]
 
 
