@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, neardup, packing, secrets, tokenfile
+from . import chat, decontam, mpeg, neardup, packing, secrets, tokenfile
 from .common import table
 
 
@@ -18,6 +18,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mpeg.digest(table(spark, sf_dir, "documents"))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(chat.with_probe(table(spark, sf_dir, "conversations")))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,11 +48,26 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
+    "op3_mpeg_audio": op3_mpeg_audio,
+    "op4_chat_format": op4_chat_format,
     "op5_packing": op5_packing,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_files": op7_token_files,
 }
 
+_OP4 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(text, '\', '\\'), '<|', '<\|'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
 _OP6 = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -60,4 +83,4 @@ SELECT documents.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, compone
 FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id JOIN c ON c.x = documents.doc_id
 """
 
-ORACLES: dict[str, str] = {"op6_near_duplicates": _OP6}
+ORACLES: dict[str, str] = {"op4_chat_format": _OP4, "op6_near_duplicates": _OP6}
