@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, mpeg, neardup, packing, secrets, tokenfile
+from . import chat, decontam, langid, mpeg, neardup, packing, secrets, tokenfile, toxicity
 from .common import table
 
 
@@ -45,6 +45,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -53,6 +61,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_files": op7_token_files,
+    "op9_toxicity": op9_toxicity,
+    "op10_language_id": op10_language_id,
 }
 
 _OP4 = r"""
