@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, langid, mpeg, neardup, packing, secrets, tokenfile, toxicity
+from . import chat, decontam, htmltext, langid, mpeg, neardup, packing, secrets, tokenfile, toxicity
 from .common import table
 
 
@@ -45,6 +45,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.digest(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_files": op7_token_files,
+    "op8_html_text": op8_html_text,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
 }
