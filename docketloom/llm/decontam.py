@@ -22,11 +22,12 @@ from collections.abc import Iterator
 from functools import cache, reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, per_batch, prepare
+from .common import cut, per_batch, prepare, slices
 
 MATCHES = "doc_id long, item_id long, start long, end long, windows int, edits int"
 _BREAK = 1  # stands between documents; equals nothing
@@ -211,15 +212,19 @@ def blocks(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int, str]]]:
     yield held
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 96, rate: float = 0.1, least: int = 24, block: int = 2_000_000) -> DataFrame:
-    """The regions of ``docs`` (doc_id, text) that hold a window of ``benchmark`` (item_id, text) within the edit budget."""
-    spark = docs.sparkSession
+def indexes(spark: SparkSession, benchmark: DataFrame, window: int, rate: float, least: int, block: int) -> Iterator:
+    """A broadcast index for each block of items, one after another."""
     prepare(spark)
-    parts = []
     for items in blocks(benchmark, block):
+        yield spark.sparkContext.broadcast(Windows(items, window, rate, least))  # of at most ``block`` characters
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 96, rate: float = 0.1, least: int = 24, block: int = 2_000_000) -> DataFrame:
+    """The regions of ``docs`` (doc_id, text) that hold a window of ``benchmark`` (item_id, text) within the edit budget."""
+    parts: list[DataFrame] = []
+    for index in indexes(docs.sparkSession, benchmark, window, rate, least, block):
         if parts:
             parts[-1] = cut(parts[-1])
-        index = spark.sparkContext.broadcast(Windows(items, window, rate, least))  # of at most ``block`` characters
 
         def matches(batch: pa.RecordBatch, index=index) -> dict:
             rows = index.value.search(batch.column("text").to_pylist())
@@ -230,7 +235,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 96, rate:
     return reduce(DataFrame.unionAll, parts)
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark region; all columns."""
-    found = contaminated(docs, benchmark, **parameters).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs.doc_id == F.col("_found"), "left_anti")
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 96, rate: float = 0.1, least: int = 24, block: int = 2_000_000) -> DataFrame:
+    """``docs`` without the rows whose ``text`` holds a benchmark region; all columns, no shuffle. Each further block of items
+    sees only what the one before kept, as written."""
+    for n, index in enumerate(indexes(docs.sparkSession, benchmark, window, rate, least, block)):
+        if n:
+            docs = cut(docs)
+        docs = docs.filter(_clean(index))
+    return docs
+
+
+def _clean(held):
+    """A predicate on ``text``: no region of this block's items."""
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        out, at = np.ones(len(texts), bool), 0
+        for part in slices(pa.record_batch([pa.array(texts, pa.string(), from_pandas=True)], ["text"]), "text"):
+            out[[at + found[0] for found in held.value.search(part.column("text").to_pylist())]] = False
+            at += part.num_rows
+        return pd.Series(out)
+
+    return clean(F.col("text"))

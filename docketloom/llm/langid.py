@@ -160,9 +160,9 @@ def fit(docs: DataFrame, per_language: int = 500, folds: int = 4, held: int = 2,
     return train(x, [r.lang for r in sample], near)
 
 
-def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``df`` with lang_pred, score and ambiguous."""
-    shared = df.sparkSession.sparkContext.broadcast(model)  # languages times bits times FEATURES numbers
+def prediction(model: Model, text: Column, spark) -> Column:
+    """A struct of lang_pred, score and ambiguous for the column ``text``."""
+    shared = spark.sparkContext.broadcast(model)  # languages times bits times FEATURES numbers
 
     @F.pandas_udf("struct<lang_pred:string,score:double,ambiguous:boolean>")
     def predicted(texts: pd.Series) -> pd.DataFrame:
@@ -173,7 +173,12 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             parts.append(pd.DataFrame({"lang_pred": lang, "score": score, "ambiguous": close}))
         return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"lang_pred": [], "score": [], "ambiguous": []})
 
-    made = df.withColumn("_language", predicted(F.col(text)))
+    return predicted(text)
+
+
+def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``df`` with lang_pred, score and ambiguous."""
+    made = df.withColumn("_language", prediction(model, F.col(text), df.sparkSession))
     return made.withColumns({c: F.col(f"_language.{c}") for c in ("lang_pred", "score", "ambiguous")}).drop("_language")
 
 

@@ -16,7 +16,8 @@ A pair at the threshold is missed with probability (1 - 0.85^8)^48, 2.4e-7, for
 path joins its documents.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing; fewer words than a shingle are one
-sequence; copies link; rows that share a doc_id count as one document; an empty table gives an empty result.
+sequence; copies link; rows that share a doc_id count as one document; a row without an id joins its
+copies' component and has none otherwise; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -177,8 +178,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, most: in
 
     known = cut(per_batch(docs, sketch, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"))
     equal = ["n_shingles", "h1", "h2"]
-    classes = cut(known.filter("n_shingles > 0").groupBy(*equal).agg(F.min("doc_id").alias("rep")))
-    of_reps = known.filter("n_shingles > 0").groupBy(*equal).agg(F.min(F.struct("doc_id", "bands")).alias("least")).select(F.col("least.doc_id").alias("rep"), F.explode("least.bands").alias("key"))
+    shown = known.filter("n_shingles > 0 and doc_id is not null")
+    classes = cut(shown.groupBy(*equal).agg(F.min("doc_id").alias("rep")))
+    of_reps = shown.groupBy(*equal).agg(F.min(F.struct("doc_id", "bands")).alias("least")).select(F.col("least.doc_id").alias("rep"), F.explode("least.bands").alias("key"))
     hubs = cut(of_reps.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub < last").select("key", "hub"))
     hung = of_reps.join(hubs, "key").filter("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     candidates = components(hung)
@@ -219,4 +221,4 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, most: in
     roots = linked.select(F.col("node").alias("rep"), "root")
     placed = known.select("doc_id", *equal).join(classes, equal, "left").join(roots, "rep", "left")
     component = F.coalesce("root", "rep", "doc_id")
-    return placed.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return placed.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))

@@ -1,0 +1,59 @@
+"""The pipeline's stages against what each one is to do, on a small made corpus."""
+
+from zlib import crc32
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+import corpus_pipeline
+from docketloom.llm.decontam import Windows
+from docketloom.llm.secrets import find
+
+from .test_neardup import brute
+
+P = pytest.importorskip("public_tokenizers")
+
+
+def corpus():
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), rng.integers(2, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    item = text(40)
+    rows = [(k, text(int(rng.integers(6, 80)))) for k in range(60)]
+    rows += [(100, rows[3][1]), (101, rows[3][1] + " x"), (102, "1 2 3"), (103, None), (104, ""), (105, text(20) + " " + item), (106, text(9) + " password = hunter22x " + text(3)), (107, item)]
+    docs = [(k, t, "en" if k % 9 else None, f"s{k % 3}", len(t or "")) for k, t in rows]
+    return [*docs, docs[5], (None, "no id " + text(9), "en", "s", 3)], item
+
+
+def test_stages(spark, as_tables):
+    rows, item = corpus()
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())])
+    folder = as_tables(documents=([list(c) for c in zip(*rows)], schema), benchmark=([[1], [item]], pa.schema([("item_id", pa.int64()), ("text", pa.string())])))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    state, seen = docs, {}
+    for name, stage in corpus_pipeline.STAGES:
+        state = stage(spark, state, folder)
+        seen[name] = [r.asDict() for r in state.collect()]
+        if name != "packing":
+            assert state.columns == docs.columns
+    assert [n for n, _ in corpus_pipeline.STAGES] == list(seen)
+    texts = lambda name: sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "") for r in seen[name])
+    want = sorted((-1 if r[0] is None else r[0], r[1]) for r in rows if r[1] and any(c.isalpha() for c in r[1]))
+    assert texts("language") == want and all(r["lang"] for r in seen["language"])
+    roots = brute([x for x in dict(want).items() if x[0] >= 0])
+    want = [x for x in dict(want).items() if x[0] < 0 or roots[x[0]][1] == x[0]]
+    assert texts("near_duplicates") == sorted(want)
+    index = Windows([(1, item)], 96, 0.1, 24)
+    want = [x for x in want if not index.search([x[1]])]
+    assert texts("decontamination") == sorted(want) and not {105, 107} & {k for k, _ in want}
+    assert [k for k, _ in texts("secrets")] == sorted(k for k, _ in want)
+    assert not any(find(t) for _, t in texts("secrets")) and "[secret]" in dict(texts("secrets"))[106]
+    changed = {k for k, t in texts("secrets") if dict(want)[k] != t}
+    assert changed == {106} and all(r["n_chars"] == len(r["text"]) for r in seen["secrets"])
+    from .test_tokens import check_packing, plain
+
+    check_packing(seen["packing"], {k if k >= 0 else None: [t] for k, t in texts("secrets")}, 4096)
+    ids = np.array(plain("words", [dict(texts("secrets"))[106]], 2)[0], "<u4")
+    assert [r["ids_crc32"] for r in seen["packing"] if r["doc_id"] == 106] == [crc32(ids.tobytes())]
+    assert corpus_pipeline.run(spark, folder).count() == len(seen["packing"])
