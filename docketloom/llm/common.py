@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,24 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return a worker's freed memory to the machine; allocators keep what they freed, and workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
+@cache
+def _trim():
+    import ctypes
+
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library: nothing to ask
+        return None
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of ``batch`` with at most ``most`` bytes in ``column`` each, but at least one row."""
     if not batch.num_rows:
         return
@@ -68,6 +86,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterato
         to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+    give_back()
 
 
 def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str, column: str = "text") -> DataFrame:

@@ -180,7 +180,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, most: in
     equal = ["n_shingles", "h1", "h2"]
     shown = known.filter("n_shingles > 0 and doc_id is not null")
     classes = cut(shown.groupBy(*equal).agg(F.min("doc_id").alias("rep")))
-    of_reps = shown.groupBy(*equal).agg(F.min(F.struct("doc_id", "bands")).alias("least")).select(F.col("least.doc_id").alias("rep"), F.explode("least.bands").alias("key"))
+    chosen = shown.join(classes.select(F.col("rep").alias("_rep")), F.col("doc_id") == F.col("_rep"), "left_semi").select("doc_id", "bands")
+    of_reps = cut(chosen).select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
     hubs = cut(of_reps.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub < last").select("key", "hub"))
     hung = of_reps.join(hubs, "key").filter("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     candidates = components(hung)

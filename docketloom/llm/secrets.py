@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 #: Kinds in the order in which equal starts are listed; the first three are the strong ones.
 KINDS = ("assign", "access", "hex", "identifier", "opaque", "endpoint")
 STRONG = KINDS[:3]
@@ -120,6 +122,7 @@ def scan_secrets(df: DataFrame, text: str = "text", reach: int = 200) -> DataFra
     def spans(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for each in texts:
             yield pd.Series([[dict(zip(("kind", "start", "end", "role", "link"), x, strict=True)) for x in find(t, reach)] for t in each])
+            give_back()
 
     return df.withColumn("spans", spans(F.col(text)))
 
@@ -152,5 +155,6 @@ def redact(df: DataFrame, text: str = "text", reach: int = 200, mark: str = "[se
                     at = max(at, end)
                 out.append(t if t is None or not pieces else "".join([*pieces, t[at:]]))
             yield pd.Series(out, dtype="object")
+            give_back()
 
     return df.withColumn(text, clean(F.col(text)))
