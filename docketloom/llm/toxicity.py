@@ -135,16 +135,22 @@ def learn(rows: list[tuple[int, int, str]], least: int = 5, floor: float = 0.004
     if not all(n):
         return Lexicon(seeds, exceptions, FIXED)
     held: tuple[Counter, Counter] = Counter(), Counter()
-    for toxic, group, words in rows:
-        terms = set()
-        for w in words.split():
-            terms.update(w[:k] for k in range(4, min(len(w), 8) + 1))
-            terms.add(w + " ")
-        share = 1 / copies[toxic, group]
-        for t in terms:
-            held[toxic][t] += share
+    for toxic in (1, 0):  # of the other rows only those terms are counted that enough toxic rows hold
+        for kind, group, words in rows:
+            if kind == toxic:
+                terms = set()
+                for w in words.split():
+                    terms.update(w[:k] for k in range(4, min(len(w), 8) + 1))
+                    terms.add(w + " ")
+                share = 1 / copies[kind, group]
+                for t in terms if toxic else terms & held[1].keys():
+                    held[toxic][t] += share
+        if toxic:
+            names = {s[1:] for s in seeds}
+            kept = {t: c for t, c in held[1].items() if c >= max(least, floor * n[1]) or t.rstrip(" ") in names}
+            held = Counter(kept), Counter()
     taken: dict[str, float] = {}
-    for term in sorted((t for t, c in held[1].items() if c >= max(least, floor * n[1])), key=len):
+    for term in sorted((t for t, c in held[1].items() if c >= max(least, floor * n[1])), key=lambda t: (len(t), t)):
         if any(" " + term[:k] in taken for k in range(4, len(term))):
             continue
         a, b = held[1][term] / n[1], held[0][term] / n[0]
@@ -152,7 +158,7 @@ def learn(rows: list[tuple[int, int, str]], least: int = 5, floor: float = 0.004
             taken[" " + term] = float(min(3.0, np.log(((held[1][term] + 0.5) / (n[1] + 1)) / ((held[0][term] + 0.5) / (n[0] + 1)))) / 3)
     for term, weight in seeds.items():
         own = term[1:]
-        if own in held[1] or own in held[0] or own + " " in held[0]:
+        if own + " " in held[1]:
             a, b = held[1][own + " "] / n[1], held[0][own + " "] / n[0]
             weight = 1.0 if a >= 3 * b else 0.3 if a >= b else 0.0
         if weight and not any(term.startswith(t.rstrip()) for t in taken):
