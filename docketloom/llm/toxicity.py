@@ -148,7 +148,7 @@ def learn(rows: list[tuple[int, int, str]], least: int = 5, floor: float = 0.004
         if toxic:
             names = {s[1:] for s in seeds}
             kept = {t: c for t, c in held[1].items() if c >= max(least, floor * n[1]) or t.rstrip(" ") in names}
-            held = Counter(kept), Counter()
+            held = Counter(), Counter(kept)
     taken: dict[str, float] = {}
     for term in sorted((t for t, c in held[1].items() if c >= max(least, floor * n[1])), key=lambda t: (len(t), t)):
         if any(" " + term[:k] in taken for k in range(4, len(term))):
