@@ -11,7 +11,7 @@ from ..schema import to_wide
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], single: bool = True) -> int:
-    """Header, fixed columns, minimal quoting, CRLF line ends; overwrites, and gives the number of rows written."""
+    """Header, fixed columns, minimal quoting, CRLF line ends (inside quoted values too); overwrites, gives the number of rows."""
     wide = to_wide(df, columns)
     writer = (wide.coalesce(1) if single else wide).write.mode("overwrite")
     writer.option("header", True).option("escape", '"').option("emptyValue", "").option("lineSep", "\r\n").csv(path)
