@@ -19,7 +19,7 @@ import pyarrow as pa
 
 from .common import utf8
 
-PIECES, IDS, SLOTS = 1_000_000, 8_000_000, 1 << 21
+PIECES, IDS, SLOTS = 600_000, 5_000_000, 1 << 20
 #: Words in one call of the library, and what stands between them: a control character, a token that no word has.
 _TOGETHER, _BETWEEN = 512, b"\n\x01\n"
 _RNG = np.random.default_rng(20_240_602)
