@@ -10,7 +10,7 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import blank, col, spans, squash, strip
+from .text import blank, col, let, spans, squash, strip
 
 EARLIEST_YEAR = 1935
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
@@ -76,12 +76,15 @@ def date_after(text: Column | str, anchors: tuple[str, ...], as_of: Column | dat
     best = F.lit(None).cast("struct<iso:string,precision:string,raw:string,start:int>")
     for anchor in anchors:
         pattern = f"(?i){anchor}"
-        rest = F.try_element_at(F.split(t, pattern, -1), F.lit(-1))
-        matched = F.try_element_at(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), F.lit(-1))
-        behind = find_dates(F.substring(rest, 1, window), as_of)
-        around = find_dates(F.concat(matched, F.substring(rest, 1, window)), as_of)
-        hit = F.get(F.when(F.size(behind) > 0, behind).otherwise(around), F.lit(0))
-        moved = F.when(t.rlike(pattern) & hit.isNotNull(), F.struct(hit["iso"].alias("iso"), hit["precision"].alias("precision"), hit["raw"].alias("raw"), (F.length(t) - F.length(rest) + hit["start"]).alias("start")))
+        parts = F.struct(F.try_element_at(F.split(t, pattern, -1), F.lit(-1)).alias("rest"), F.try_element_at(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), F.lit(-1)).alias("matched"))
+
+        def near(p: Column) -> Column:
+            ahead = F.substring(p["rest"], 1, window)
+            behind = F.get(find_dates(ahead, as_of), F.lit(0))
+            return F.struct(F.coalesce(behind, F.get(find_dates(F.concat(p["matched"], ahead), as_of), F.lit(0))).alias("hit"), F.length(p["rest"]).alias("left"))
+
+        found = F.when(t.rlike(pattern), let(parts, near))
+        moved = let(found, lambda n: F.when(n["hit"].isNotNull(), F.struct(n["hit"]["iso"].alias("iso"), n["hit"]["precision"].alias("precision"), n["hit"]["raw"].alias("raw"), (F.length(t) - n["left"] + n["hit"]["start"]).alias("start"))))
         best = F.when(best.isNull() | (moved["start"] > best["start"]), F.coalesce(moved, best)).otherwise(best)
     return best
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..udf import arrow_udf
 from .dates import find_dates
-from .text import blank, col, spans, squash
+from .text import blank, col, let, spans, squash
 
 PROBE = "struct<has_font:boolean,has_image:boolean,has_text_operators:boolean,text_chars:int,pages:int,is_image_only:boolean,error:string>"
 LEAST_GLYPHS = 40
@@ -169,29 +169,36 @@ def order_sections(text: Column | str) -> Column:
     t = blank(col(text))
     title = lambda raw: F.substring(F.regexp_replace(squash(raw), r"^[ .:_-]+|[ .:_-]+$", ""), 1, 120)
     heads = F.filter(F.transform(spans(t, _HEADING), lambda s: F.struct(s["start"].alias("start"), title(s["raw"]).alias("title"))), lambda h: F.length(h["title"]) >= 5)
-    return F.transform(heads, lambda h, i: F.struct(h["title"].alias("title"), F.substring(t, h["start"] + 1, F.coalesce(F.get(heads, i + 1)["start"], F.length(t)) - h["start"]).alias("body")))
+    return let(heads, lambda all_: F.transform(all_, lambda h, i: F.struct(h["title"].alias("title"), F.substring(t, h["start"] + 1, F.coalesce(F.get(all_, i + 1)["start"], F.length(t)) - h["start"]).alias("body"))))
 
 
 def dossier_status(text: Column | str, as_of, whole: Column | bool = True) -> Column:
     """struct of a dossier's facts: the last order decides the status (then the whole text), the earliest certifying order gives the
     date. A read that may have missed pages can say revoked, never in_effect."""
     t = blank(col(text))
-    sections = order_sections(t)
-    last = F.try_element_at(sections, F.lit(-1))
-    signal = F.coalesce(F.nullif(revocation(last["body"]), F.lit("")), revocation(t))
-    certifying = F.filter(sections, lambda s: F.contains(F.upper(s["title"]), F.lit("CERTIFICATION")) & ~s["title"].rlike(_NOT_CERTIFYING))
+    told = F.lit(whole) if isinstance(whole, bool) else whole
 
     def dated(s: Column) -> Column:
-        served, any_date = F.get(find_dates(F.regexp_extract(s["body"], _SERVED, 1), as_of), F.lit(0))["iso"], F.get(find_dates(s["body"], as_of), F.lit(0))["iso"]
-        return F.struct(F.coalesce(served, any_date).alias("iso"), F.when(served.isNotNull(), "filed_and_served").otherwise("first_date_in_order").alias("source"))
-
-    first = F.array_min(F.filter(F.transform(certifying, dated), lambda d: d["iso"].isNotNull()))
-    status = F.when(F.trim(t) == "", "unknown").when(signal != "", "revoked").when(F.lit(whole) if isinstance(whole, bool) else whole, "in_effect").otherwise("unknown")
-    return F.struct(
-        status.alias("certification_status"), blank(last["title"]).alias("latest_order_title"), blank(F.get(find_dates(blank(last["body"]), as_of), F.lit(0))["iso"]).alias("latest_order_date"),
-        signal.alias("revocation_signal"), blank(first["iso"]).alias("certification_order_date"), F.when(first["iso"].isNotNull(), first["source"]).otherwise(F.lit("")).alias("certification_order_date_source"),
-        F.when(first["iso"].isNotNull(), "ok").when(F.size(certifying) > 0, "date_not_matched").otherwise("no_certification_section").alias("pdf_fetch_status"),
-    )
+        served = F.get(find_dates(F.regexp_extract(s["body"], _SERVED, 1), as_of), F.lit(0))["iso"]
+        return let(served, lambda at: F.struct(F.coalesce(at, F.get(find_dates(s["body"], as_of), F.lit(0))["iso"]).alias("iso"), F.when(at.isNotNull(), "filed_and_served").otherwise("first_date_in_order").alias("source")))
+
+    def facts(sections: Column) -> Column:
+        last = F.try_element_at(sections, F.lit(-1))
+        certifying = F.filter(sections, lambda s: F.contains(F.upper(s["title"]), F.lit("CERTIFICATION")) & ~s["title"].rlike(_NOT_CERTIFYING))
+        return F.struct(
+            F.coalesce(F.nullif(revocation(last["body"]), F.lit("")), revocation(t)).alias("signal"), blank(last["title"]).alias("title"), blank(F.get(find_dates(blank(last["body"]), as_of), F.lit(0))["iso"]).alias("latest"),
+            F.array_min(F.filter(F.transform(certifying, dated), lambda d: d["iso"].isNotNull())).alias("first"), F.size(certifying).alias("n"),
+        )
+
+    def columns(f: Column) -> Column:
+        status = F.when(F.trim(t) == "", "unknown").when(f["signal"] != "", "revoked").when(told, "in_effect").otherwise("unknown")
+        known = f["first"].isNotNull()
+        return F.struct(
+            status.alias("certification_status"), f["title"].alias("latest_order_title"), f["latest"].alias("latest_order_date"), f["signal"].alias("revocation_signal"), blank(f["first"]["iso"]).alias("certification_order_date"), blank(f["first"]["source"]).alias("certification_order_date_source"),
+            F.when(known, "ok").when(f["n"] > 0, "date_not_matched").otherwise("no_certification_section").alias("pdf_fetch_status"),
+        )
+
+    return let(let(order_sections(t), facts), columns)
 
 
 #: Dossiers of up to FULL pages are read whole by OCR; longer ones at HEAD and TAIL pages.

@@ -27,6 +27,11 @@ def blank(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with ``value`` worked out once for a row, however often ``use`` names it: inside lambdas Spark would repeat it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
@@ -259,13 +264,16 @@ def spans(c: Column | str, pattern: str) -> Column:
     Spark tells all matches or the first place; the places of all follow from the lengths of what lies between them.
     """
     text = blank(col(c))
-    raw = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
+    none = F.expr("cast(array() as array<struct<start:int,raw:string>>)")
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("raw"), F.split(text, pattern, -1).alias("between"))
+
+    def placed(held: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            start = state["at"] + F.length(F.get(held["between"], i))
+            word = F.get(held["raw"], i)
+            return F.struct((start + F.length(word)).alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("start"), word.alias("raw")))).alias("out"))
 
-    def step(state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(F.get(between, i))
-        word = F.get(raw, i)
-        return F.struct((start + F.length(word)).alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("start"), word.alias("raw")))).alias("out"))
+        start = F.struct(F.lit(0).alias("at"), none.alias("out"))
+        return F.when(F.size(held["raw"]) == 0, none).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(held["raw"]) - 1), start, step, lambda s: s["out"]))
 
-    empty = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,raw:string>>)").alias("out"))
-    return F.when(F.size(raw) == 0, F.expr("cast(array() as array<struct<start:int,raw:string>>)")).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(raw) - 1), empty, step, lambda s: s["out"]))
+    return F.when(text.rlike(pattern), let(found, placed)).otherwise(none)
