@@ -173,7 +173,7 @@ def prediction(model: Model, text: Column, spark) -> Column:
             parts.append(pd.DataFrame({"lang_pred": lang, "score": score, "ambiguous": close}))
         return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"lang_pred": [], "score": [], "ambiguous": []})
 
-    return predicted(text)
+    return predicted.asNondeterministic()(text)  # else a filter on the prediction would predict a second time
 
 
 def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:

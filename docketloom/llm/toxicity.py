@@ -236,7 +236,7 @@ def add_scores(df: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame
             parts.append(pd.DataFrame({"score": score, "predicted": (score >= 0.5).astype(np.int32), "matches": matches.astype(np.int32)}))
         return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"score": [], "predicted": [], "matches": []})
 
-    scored_df = df.withColumn("_toxicity", scored(F.col(text)))
+    scored_df = df.withColumn("_toxicity", scored.asNondeterministic()(F.col(text)))
     return scored_df.withColumns({c: F.col(f"_toxicity.{c}") for c in ("score", "predicted", "matches")}).drop("_toxicity")
 
 
