@@ -17,8 +17,8 @@ The folder holds ``codebook`` (id, bits) and ``blocks`` (part, block, tokens of
 Parquet, so any store that Spark writes to will do. Parts are disjoint ranges of doc_id in ascending order; the ranges come
 from quantiles of doc_id, so no range depends on a hot source or text.
 
-Defined cases: a null or empty text is its end id alone; rows with one doc_id stand one after another; null doc_ids stand
-first and read back as null is not kept: they are refused. An empty table gives files without blocks.
+Defined cases: a null or empty text is its end id alone; rows with one doc_id stand one after another; rows without a doc_id
+have no place in the order and are left out. An empty table gives files without blocks.
 """
 
 from __future__ import annotations
