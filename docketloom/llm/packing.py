@@ -32,7 +32,7 @@ def pieces(docs: DataFrame, tokenizer: str, kind: str, end: int, length: int) ->
     """One row for each piece of each document: whole sequences first, then the remainder."""
 
     def make(batch) -> dict:
-        ids, offsets = encoded(batch.column("text"), tokenizer, kind, end)
+        ids, offsets = encoded(batch.column("text"), tokenizer, kind, end, pieces=600_000)
         ids, sizes = ids.astype("<u4"), np.diff(offsets)
         n = -(-sizes // length)
         row = np.repeat(np.arange(len(sizes)), n)

@@ -160,7 +160,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, kind: str, end: in
     spark: SparkSession = docs.sparkSession
 
     def ids_of(batch: pa.RecordBatch) -> dict:
-        ids, offsets = encoded(batch.column("text"), tokenizer, kind, end)
+        ids, offsets = encoded(batch.column("text"), tokenizer, kind, end, pieces=2_000_000)
         small = ids.astype("<u2") if not len(ids) or ids.max() < 65_536 else None
         flat = (ids.astype("<u4") if small is None else small).view(np.uint8)
         width = 4 if small is None else 2

@@ -6,7 +6,8 @@ looks every piece up by its 64-bit hash and length in an open-addressing table,
 library, and gathers all ids at once. Texts in which a cut isn't certain go to the library whole. A piece of letters alone
 is one word to the pre-tokenizer, so it goes to the library's model directly, many pieces in a call.
 
-The table is emptied once it holds ``PIECES`` pieces or ``IDS`` ids, which bounds a worker's memory.
+The table is emptied once it holds ``pieces`` pieces or eight times as many ids, which bounds a worker's memory: about 70 bytes a
+piece.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ import pyarrow as pa
 
 from .common import utf8
 
-PIECES, IDS, SLOTS = 600_000, 5_000_000, 1 << 20
 #: Words in one call of the library, and what stands between them: a control character, a token that no word has.
 _TOGETHER, _BETWEEN = 512, b"\n\x01\n"
 _RNG = np.random.default_rng(20_240_602)
@@ -55,11 +55,12 @@ class Encoder:
     """kind "words": white space is dropped by the tokenizer, so it is a cut. kind "spaced": a single space belongs to the
     word behind it and a single line feed stands alone."""
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, pieces: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.kind = kind
+        self.kind, self.pieces = kind, pieces
+        self.slots = 1 << (2 * pieces - 1).bit_length()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.words = Tokenizer.from_file(path)
@@ -73,19 +74,19 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys, self.number = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32)
+        self.keys, self.number = np.zeros(self.slots, np.uint64), np.zeros(self.slots, np.int32)
         self.pool, self.ends, self.count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each piece, or -1."""
         out = np.full(len(hashes), -1, np.int64)
-        left, slot = np.arange(len(hashes)), (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        left, slot = np.arange(len(hashes)), (hashes & np.uint64(len(self.keys) - 1)).astype(np.int64)
         while len(left):
             seen = self.keys[slot]
             hit = seen == hashes[left]
             out[left[hit]] = self.number[slot[hit]]
             more = ~hit & (seen != 0)
-            left, slot = left[more], (slot[more] + 1) & (SLOTS - 1)
+            left, slot = left[more], (slot[more] + 1) & (len(self.keys) - 1)
         return out
 
     def _keep(self, hashes: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> None:
@@ -99,13 +100,21 @@ class Encoder:
         self.ends[self.count + 1 : self.count + len(hashes) + 1] = start + np.cumsum(lengths)
         number = np.arange(self.count, self.count + len(hashes))
         self.count += len(hashes)
-        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        if self.count > 3 * len(self.keys) // 4:  # a single text with more pieces than the table is made for
+            full = self.keys != 0
+            hashes, number = np.concatenate([self.keys[full], hashes]), np.concatenate([self.number[full], number])
+            size = 1 << (2 * self.count).bit_length()
+            self.keys, self.number = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+        self._enter(hashes, number)
+
+    def _enter(self, hashes: np.ndarray, number: np.ndarray) -> None:
+        slot = (hashes & np.uint64(len(self.keys) - 1)).astype(np.int64)
         while len(number):
             free = np.flatnonzero(self.keys[slot] == 0)
             self.keys[slot[free]] = hashes[free]  # of several for one slot, the last written stays
             own = self.keys[slot] == hashes
             self.number[slot[own]] = number[own]
-            number, hashes, slot = number[~own], hashes[~own], (slot[~own] + 1) & (SLOTS - 1)
+            number, hashes, slot = number[~own], hashes[~own], (slot[~own] + 1) & (len(self.keys) - 1)
 
     def _sure(self, raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Of each text: can it be cut? For "spaced", white space must be single spaces and line feeds inside the text."""
@@ -186,7 +195,7 @@ class Encoder:
         """(ids of all texts one after another, offsets of the texts among them); an empty text has no ids."""
         if not len(raw):
             return np.zeros(0, np.uint32), np.zeros(len(ends), np.int64)
-        if self.count > PIECES or self.ends[self.count] > IDS:
+        if self.count > self.pieces or self.ends[self.count] > 8 * self.pieces:
             self._clear()
         first, last = self._pieces(raw, ends, self._sure(raw, ends))
         if not len(first):
@@ -210,17 +219,17 @@ class Encoder:
         return ids, to[np.searchsorted(first, ends)]
 
 
-_MADE: dict[tuple[str, str], Encoder] = {}
+_MADE: dict[tuple[str, str, int], Encoder] = {}
 
 
-def encoder(path: str, kind: str) -> Encoder:
+def encoder(path: str, kind: str, pieces: int = 1_000_000) -> Encoder:
     """The worker's encoder for this file."""
-    if (path, kind) not in _MADE:
-        _MADE[path, kind] = Encoder(path, kind)
-    return _MADE[path, kind]
+    if (path, kind, pieces) not in _MADE:
+        _MADE[path, kind, pieces] = Encoder(path, kind, pieces)
+    return _MADE[path, kind, pieces]
 
 
-def encoded(column: pa.Array, path: str, kind: str, end: int) -> tuple[np.ndarray, np.ndarray]:
+def encoded(column: pa.Array, path: str, kind: str, end: int, pieces: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of a column of texts, with the id ``end`` behind each one's ids; a null text is empty."""
-    ids, offsets = encoder(path, kind).encode(*utf8(column))
+    ids, offsets = encoder(path, kind, pieces).encode(*utf8(column))
     return np.insert(ids, offsets[1:], end), offsets + np.arange(len(offsets))

@@ -49,6 +49,16 @@ def test_encoder_on_random_texts(texts):
         assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [x[:-1] for x in plain(kind, texts, 0)]
 
 
+def test_table_grows_and_is_emptied():
+    made = Encoder(P.path(FILES["words"]), "words", pieces=100)
+    rng = np.random.default_rng(9)
+    for _ in range(3):
+        texts = [" ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(400))]
+        ids, ends = made.encode(*utf8(pa.array(texts)))
+        assert ids.tolist() == plain("words", texts, 0)[0][:-1]
+        assert len(made.keys) >= made.count
+
+
 def rows_of(df):
     return [r.asDict() for r in df.collect()]
 
