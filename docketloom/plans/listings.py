@@ -15,6 +15,7 @@ from ..operators import rules
 from ..sources.tables import link_rows, table_cells
 from ..udf import arrow_udf
 from .dataset import ENDS, PLACE, dataset, first_clause, key, or_else, without_place_word
+from .maryland import verified
 
 HREF = r"(?i)\bhref\s*=\s*[\"']([^\"']+)[\"']"
 DOCUMENTS = "url string, text string, method string"
@@ -148,7 +149,7 @@ def maryland_parties(text: Column) -> Column:
     columns=("row_key", "source_agency_code", "case_number", "canonical_case_type", "native_case_type", "employer_type", "employer_name", "union_name", *PLACE, "event_date", "document_title", "document_description", "pdf_url", *ENDS),
 )
 def maryland(frames, as_of) -> DataFrame:
-    """Maryland PERB election certifications; a verified table of parties (``overrides``) beats the titles."""
+    """Maryland PERB election certifications; verified parties, and ``overrides`` before them, beat the titles."""
     card = r'(?is)<article class="maryland-listing-item__container(?:\s[^"]*)?"[^>]*>(.*?)</article>'
     a = frames["pages"].select("url", F.posexplode(F.regexp_extract_all("html", F.lit(card), F.lit(1))).alias("pos", "a"))
     part = lambda p: strip_html(F.regexp_extract("a", "(?is)" + p, 1))
@@ -163,7 +164,10 @@ def maryland(frames, as_of) -> DataFrame:
     r = r.withColumns({"case_number": case, "media_id": F.regexp_extract("pdf_url", r"/media/(\d+)", 1), "_opens": opens})
     inner = F.when(F.col("_opens"), rest).when((F.col("case_number") != "") & F.contains("document_title", F.lit(" - ")), F.regexp_replace("document_title", r"^.*? - ", "")).otherwise(F.col("document_title"))
     r = r.withColumn("_p", maryland_parties(inner))
-    o = frames["overrides"].select(F.col("media_id").alias("_id"), F.col("employer_name").alias("_e"), F.col("union_name").alias("_u"))
+    known = r.sparkSession.createDataFrame(verified(), "media_id string, employer_name string, union_name string")
+    own = frames["overrides"].select("media_id", "employer_name", "union_name")
+    o = known.join(own.select(F.col("media_id").alias("_own")), F.col("media_id") == F.col("_own"), "left_anti").union(own)
+    o = o.select(F.col("media_id").alias("_id"), F.col("employer_name").alias("_e"), F.col("union_name").alias("_u"))
     r = r.join(o, F.col("media_id") == F.col("_id"), "left").filter(~F.col("media_id").isin(*MD_REPEATED))
     return r.withColumns({"employer_name": F.coalesce("_e", "_p.employer"), "union_name": F.coalesce("_u", "_p.union"), "row_key": key("MD_PERB", or_else("media_id", "case_number", "document_title")), "canonical_case_type": F.when(F.contains(F.concat(F.lit(" "), F.upper("document_title"), F.lit(" ")), F.lit(" ULP ")), "ULP").otherwise("CERTIFICATION"), "source_url": F.col("pdf_url")})
 

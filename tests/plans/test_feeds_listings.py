@@ -59,9 +59,9 @@ def test_alaska_washington_new_york_iowa(spark):
 
 def test_maryland(spark):
     card = '<article class="maryland-listing-item__container x"><div class="maryland-listing-item__eyebrow">State</div><a class="maryland-listing-item__title" href="/media/{m}"><span class="maryland-link__document-title">{t}</span></a><div class="maryland-listing-item__date">May 1, 2026</div></article>'
-    html = card.format(m=1, t="PERB EL 2026-01, AFSCME, State") + card.format(m=2, t="AFT - College") + card.format(m=412, t="dup")
+    html = card.format(m=1, t="PERB EL 2026-01, AFSCME, State") + card.format(m=2, t="AFT - College") + card.format(m=412, t="dup") + card.format(m=278, t="x")
     rows = run(spark, "md-perb-election-certs", pages=[("https://www.maryland.gov/l", html)], overrides=[("2", "Howard College", "AFT-Maryland")])
-    check(rows, {"row_key": "MD_PERB:1", "case_number": "PERB EL 2026-01", "employer_name": "AFSCME", "union_name": "State", "event_date": "May 1, 2026"}, {"employer_name": "Howard College", "union_name": "AFT-Maryland", "employer_type": "State"})
+    check(rows, {"row_key": "MD_PERB:1", "case_number": "PERB EL 2026-01", "employer_name": "AFSCME", "union_name": "State", "event_date": "May 1, 2026"}, {"employer_name": "Howard College", "union_name": "AFT-Maryland", "employer_type": "State"}, {"row_key": "MD_PERB:278", "union_name": "Fraternal Order of Police, Lodge 34"})
 
 
 def test_rhode_island(spark):
