@@ -1,7 +1,7 @@
 """A corpus pipeline over ``documents``: each stage works on all that its predecessor kept.
 
 1. language: documents without a recognisable language go; a predicted language fills an empty ``lang``.
-2. near_duplicates: of each component of near copies the document with the smallest id stays, once.
+2. near_duplicates: of each component of near copies (a similarity of ``PERCENT`` or more) the document with the smallest id stays, once.
 3. decontamination: documents that hold a benchmark region go.
 4. secrets: every finding is replaced by a mark; documents stay, ``n_chars`` follows the text.
 5. packing: the pieces of the remaining documents and their places in sequences.
@@ -19,6 +19,9 @@ from docketloom.llm import decontam, langid, neardup, packing, secrets
 from docketloom.llm.common import table
 from docketloom.llm.queries import tokenizer_path
 
+#: Least similarity of word shingles in stage 2; op6 has a threshold of its own.
+PERCENT = 80
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = docs.withColumn("_language", langid.prediction(langid.fit(docs), F.col("text"), spark))
@@ -27,7 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = neardup.near_duplicates(docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept"))
+    kept = neardup.near_duplicates(docs, percent=PERCENT).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept"))
     return docs.join(kept, docs.doc_id == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"]).union(docs.filter("doc_id is null"))
 
 

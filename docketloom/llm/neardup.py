@@ -12,8 +12,9 @@ the registers (five standard deviations below the threshold are kept), then on f
 search, a group of near copies costs about one comparison a document. A candidate component of more than ``most`` shingles
 is dealt to blocks, and each pair of blocks is a task, so no task holds more than two blocks and no pair is left out.
 
-A pair at the threshold is missed with probability (1 - 0.85^8)^48, 2.4e-7, for each pair; a link is lost only where no other
-path joins its documents.
+The 384 registers are cut into bands of as many registers as still miss a pair at the threshold with a probability of at most
+``MISS``: at 0.85 48 bands of 8, (1 - 0.85^8)^48 = 2.4e-7; at 0.8 64 bands of 6, 3.6e-9. A link is lost only where no other path
+joins its documents.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing; fewer words than a shingle are one
 sequence; copies link; rows that share a doc_id count as one document; a row without an id joins its
@@ -32,14 +33,14 @@ from pyspark.sql import functions as F
 from .common import cut, per_batch, slices, utf8
 from .graph import components
 
-BANDS, ROWS = 48, 8
-REGISTERS = BANDS * ROWS
+REGISTERS = 384
+MISS = 1e-6
 MANTISSA = 10
 _EMPTY = np.uint16(65_535)
 _RNG = np.random.default_rng(20_240_601)
 _BYTE = _RNG.integers(0, 1 << 64, 256, np.uint64, endpoint=False)
 _PLACE = _RNG.integers(0, 1 << 64, 64, np.uint64, endpoint=False) | np.uint64(1)
-_BAND = _RNG.integers(0, 1 << 64, (BANDS, ROWS), np.uint64, endpoint=False) | np.uint64(1)
+_BAND = _RNG.integers(0, 1 << 64, REGISTERS, np.uint64, endpoint=False) | np.uint64(1)
 _FILL = _RNG.integers(0, REGISTERS, (24, REGISTERS))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
@@ -122,9 +123,17 @@ def registers(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out, filled
 
 
-def band_keys(filled: np.ndarray) -> np.ndarray:
-    parts = filled.reshape(len(filled), BANDS, ROWS).astype(np.uint64) + np.uint64(1)
-    return mix((parts * _BAND).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * _BASE).view(np.int64)
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, registers in each): the longest bands that miss a pair at the threshold with probability ``MISS`` at most."""
+    fits = [rows for rows in range(1, 33) if (1 - (percent / 100) ** rows) ** (REGISTERS // rows) <= MISS]
+    rows = max(fits, default=1)
+    return REGISTERS // rows, rows
+
+
+def band_keys(filled: np.ndarray, percent: int) -> np.ndarray:
+    bands, rows = banding(percent)
+    parts = filled[:, : bands * rows].reshape(len(filled), bands, rows).astype(np.uint64) + np.uint64(1)
+    return mix((parts * _BAND[: bands * rows].reshape(bands, rows)).sum(2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64) * _BASE).view(np.int64)
 
 
 def estimate(one: np.ndarray, many: np.ndarray, size: int, sizes: np.ndarray) -> np.ndarray:
@@ -166,13 +175,14 @@ def links(ids: list[int], sets: list[np.ndarray], filled: np.ndarray, used: np.n
 def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, most: int = 2_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
+    bands, _ = banding(percent)
 
     def sketch(batch: pa.RecordBatch) -> dict:
         sets = shingle_sets(*utf8(batch.column("text")), words)
         filled, _ = registers(sets)
         sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        keys = band_keys(filled)[sizes > 0]
-        ends = np.concatenate([[0], np.cumsum((sizes > 0) * BANDS)])
+        keys = band_keys(filled, percent)[sizes > 0]
+        ends = np.concatenate([[0], np.cumsum((sizes > 0) * bands)])
         sums = np.array([[x.sum(dtype=np.uint64), mix(x + _BASE).sum(dtype=np.uint64)] for x in sets], np.uint64).view(np.int64)
         return {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "h1": sums[:, 0], "h2": sums[:, 1], "bands": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel()))}
 

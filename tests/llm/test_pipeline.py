@@ -8,6 +8,7 @@ import pytest
 
 import corpus_pipeline
 from docketloom.llm.decontam import Windows
+from docketloom.llm.neardup import REGISTERS, banding
 from docketloom.llm.secrets import find
 
 from .test_neardup import brute
@@ -57,3 +58,21 @@ def test_stages(spark, as_tables):
     ids = np.array(plain("words", [dict(texts("secrets"))[106]], 2)[0], "<u4")
     assert [r["ids_crc32"] for r in seen["packing"] if r["doc_id"] == 106] == [crc32(ids.tobytes())]
     assert corpus_pipeline.run(spark, folder).count() == len(seen["packing"])
+
+
+def test_near_duplicates_links_from_a_similarity_of_80(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for k in range(30):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 100)]
+        other = [*words]
+        for place in (10, 50, 90)[: k % 4]:  # each changed word changes five of 96 shingles on both sides: 0.90, 0.81, 0.73
+            other[place] = "changed"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    want = [i for i, (_, root) in brute(rows, percent=80).items() if root == i]
+    assert len(want) < len([i for i, (_, root) in brute(rows).items() if root == i])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == want
+    for percent in (80, 85):
+        bands, size = banding(percent)
+        assert bands * size <= REGISTERS and (1 - (percent / 100) ** size) ** bands <= 1e-6
