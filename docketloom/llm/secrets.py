@@ -9,8 +9,12 @@ is reported only when its complementary part co-occurs:
 * identifier and opaque: each needs the other, or a strong part of the other's role;
 * endpoint: needs an identifier and a secret in reach that are linked with each other.
 
-Defined cases: null and empty texts have no findings; overlapping findings of different kinds are all kept, except that a
-weak candidate inside a strong finding, or inside an endpoint, is that finding and not a second one. Rows are handled one
+A URL with a login is three candidates: the user is an identifier, the password a secret of the kind opaque (whatever its
+characters), and what stands behind the ``@`` the endpoint; a token alone before the ``@`` is a secret.
+
+Defined cases: null and empty texts have no findings; overlapping findings of different kinds are all kept, also those inside
+an endpoint. Wholly inside a strong finding an identifier or opaque run is that finding and not a second one, the parts of a
+login only where the strong finding is of their role; an opaque run in an identifier, as in a mail address, is part of it. Rows are handled one
 by one, so repeated rows, ties and null ids need no rule. Positions are code points, ends exclusive. Other columns pass
 through; a column that is already named ``spans`` is replaced.
 """
@@ -38,6 +42,9 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _IDENTIFIER = re.compile(r"""\b(?:user(?:_?name)?|login|account(?:_?id)?|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{2,}|(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+""", re.I | re.A)
 _OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[a-z0-9+/_=-]*[A-Z])(?=[A-Z0-9+/_=-]*[a-z])[A-Za-z0-9+/_-]{16,}={0,2}", re.A)
 _ENDPOINT = re.compile(r"(?:(?<![a-z0-9+.-])[a-z][a-z0-9+.-]{0,30}://[^\s\"'<>]+)|(?:\b\d{1,3}(?:\.\d{1,3}){3}\b(?::\d{1,5})?)|(?:\b(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+(?::\d{1,5})?)", re.I | re.A)
+#: The login in front of a URL's host, and what a text with a password in one must hold. A user has no brackets, so a redacted login is none.
+_LOGIN = re.compile(r"[a-z][a-z0-9+.-]{0,30}://(?P<user>[^\s/?#\"'<>:@\[\]]*)(?::(?P<word>[^\s/?#\"'<>]*))?@", re.I | re.A)
+_PASSWORD = re.compile(r"://[^\s/?#\"'<>:@\[\]]*:[^\s/?#\"'<>]+@")
 _SCOPE = re.compile(r"\n[ \t\r]*\n")
 
 SPANS = "array<struct<kind:string,start:int,end:int,role:string,link:int>>"
@@ -49,21 +56,45 @@ def _strong(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", *m.span()) for m in _HEX.finditer(text)]
 
 
-def _inside(starts: np.ndarray, ends: np.ndarray, start: int, end: int) -> bool:
-    """Is [start, end) overlapped by one of the intervals, which are sorted by start and have increasing running ends?"""
-    k = int(np.searchsorted(starts, end)) - 1
-    return k >= 0 and ends[k] > start
+def _sorted(parts: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, running largest ends) of intervals."""
+    parts = sorted(parts)
+    return np.array([s for s, _ in parts], np.int64), np.maximum.accumulate(np.array([e for _, e in parts], np.int64))
+
+
+def _overlapped(held: tuple[np.ndarray, np.ndarray], start: int, end: int) -> bool:
+    """Does one of the intervals share a place with [start, end)?"""
+    k = int(np.searchsorted(held[0], end)) - 1
+    return k >= 0 and held[1][k] > start
+
+
+def _inside(held: tuple[np.ndarray, np.ndarray], start: int, end: int) -> bool:
+    """Does [start, end) lie wholly inside one of the intervals?"""
+    k = int(np.searchsorted(held[0], start, "right")) - 1
+    return k >= 0 and held[1][k] >= end
 
 
 def _weak(text: str, strong: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    taken, found = sorted((s, e) for _, s, e in strong), []
-    for kind, pattern in (("endpoint", _ENDPOINT), ("identifier", _IDENTIFIER), ("opaque", _OPAQUE)):
-        starts = np.array([s for s, _ in taken], np.int64)
-        ends = np.maximum.accumulate(np.array([e for _, e in taken], np.int64)) if taken else starts
-        own = [(kind, *m.span()) for m in pattern.finditer(text) if not (taken and _inside(starts, ends, *m.span()))]
-        found += own
-        taken = sorted(taken + [(s, e) for _, s, e in own])
-    return found
+    stronger = _sorted([(s, e) for _, s, e in strong])
+    of_role = {r: _sorted([(s, e) for k, s, e in strong if ROLE[k] == r]) for r in ROLE.values()}
+    found, logins = [], []
+    for m in _ENDPOINT.finditer(text):
+        start, end = m.span()
+        if login := _LOGIN.match(text, start, end):
+            user, start = login.span("user"), login.end()
+            kind = "opaque" if login["word"] is None and _OPAQUE.fullmatch(login["user"]) else "identifier"
+            own = [(kind, *user), ("opaque", *login.span("word"))]
+            found += [x for x in own if x[1] < x[2] and not _inside(of_role[ROLE[x[0]]], *x[1:])]
+            logins.append((m.start(), start))
+        if start < end and not _inside(of_role["endpoint"], start, end):
+            found.append(("endpoint", start, end))
+    split = _sorted(logins)
+    own = [m.span() for m in _IDENTIFIER.finditer(text)]
+    own = [x for x in own if not _inside(stronger, *x) and not _overlapped(split, *x)]
+    found += [("identifier", *x) for x in own]
+    names = _sorted(own)
+    own = [m.span() for m in _OPAQUE.finditer(text)]
+    return found + [("opaque", *x) for x in own if not (_inside(stronger, *x) or _overlapped(split, *x) or _overlapped(names, *x))]
 
 
 def join_near(a: np.ndarray, b: np.ndarray, reach: int) -> np.ndarray:
@@ -90,7 +121,7 @@ def find(text: str | None, reach: int = 200) -> list[tuple[str, int, int, str, i
     """All findings of one text: (kind, start, end, role, number of its link or -1), by start and then kind."""
     text = text or ""
     strong = _strong(text)
-    weak = _weak(text, strong) if strong or _OPAQUE.search(text) else []
+    weak = _weak(text, strong) if strong or _OPAQUE.search(text) or _PASSWORD.search(text) else []
     parts = sorted(strong + weak, key=lambda x: (x[1], KINDS.index(x[0])))
     if not parts:
         return []

@@ -80,3 +80,17 @@ def test_frames(spark, odd_docs):
         assert r.text == (t if not secrets.find(t) else "[secret]' [secret]")
     assert secrets.digest(docs.limit(0)).count() == 0 and secrets.redact(docs.limit(0)).count() == 0
     assert sorted(secrets.scan_secrets(docs).columns) == sorted(docs.columns)
+
+
+def test_urls_are_split_and_not_swallowed():
+    def parts(text):
+        return [(k, text[s:e], n) for k, s, e, _, n in secrets.find(text)]
+
+    assert parts("postgres://admin:Xk29fjQ0slPq81Zz@db.example.com/prod") == [("identifier", "admin", 0), ("opaque", "Xk29fjQ0slPq81Zz", 0), ("endpoint", "db.example.com/prod", 0)]
+    assert parts("see amqp://bob:p@ss@mq:5672/v1 now") == [("identifier", "bob", 0), ("opaque", "p@ss", 0), ("endpoint", "mq:5672/v1", 0)]
+    assert parts("user=bob https://host/v1?token=abcdef123") == [("identifier", "user=bob", 0), ("endpoint", "https://host/v1?token=abcdef123", 0), ("assign", "token=abcdef123", 0)]
+    assert parts("https://bob:" + "deadbeef" * 4 + "@host/") == [("identifier", "bob", 0), ("hex", "deadbeef" * 4, 0), ("endpoint", "host/", 0)]
+    assert parts("https://host/in?user=bob&token=abcdef123")[1:] == [("identifier", "user=bob", 0), ("assign", "token=abcdef123", 0)]
+    assert parts("ssh://git@host/x") == parts("mail Xk29fjQ0slPq81Zz@db.example.com") == parts("https://host/Xk29fjQ0slPq81Zz") == []
+    assert parts("postgres://[secret]:[secret]@[secret]") == []
+    secrets.find("://" * 50_000 + "a:" * 100_000)
