@@ -9,7 +9,8 @@ seeking.
 :func:`store` writes bytes losslessly as a Layer III stream of silence: frames without main data, whose ancillary bytes are
 the payload. Units of 192 bytes go into frames of one to four units at the bitrate that holds them, so the bitrate varies
 and a Xing table stands in front; the payload's and text's lengths are in an ID3v2 text frame. Payload bytes can look like a
-header, so the reader takes frames at their computed distance and never searches inside one that checks out.
+header, so the reader takes frames at their computed distance and never searches inside one that checks out; nor is a
+trailing tag one that lies in the last whole frame.
 
 Defined cases: null and empty texts are one unit of padding; bytes without any frame give zero frames, nothing raised; equal
 texts give equal values; repeated rows are stored each.
@@ -90,8 +91,8 @@ def synchsafe(data: bytes) -> int:
     return (data[0] & 127) << 21 | (data[1] & 127) << 14 | (data[2] & 127) << 7 | data[3] & 127
 
 
-def tags(data: bytes) -> tuple[int, int, dict[str, str]]:
-    """(first byte behind leading tags, first byte of trailing tags, text fields of the tags)."""
+def tags(data: bytes, trailing: bool = True) -> tuple[int, int, dict[str, str]]:
+    """(first byte behind leading tags, first byte of trailing tags if they are looked for, text fields of the tags)."""
     start, stop, fields = 0, len(data), {}
     while data[start : start + 3] == b"ID3" and len(data) >= start + 10:
         size = synchsafe(data[start + 6 : start + 10])
@@ -108,7 +109,7 @@ def tags(data: bytes) -> tuple[int, int, dict[str, str]]:
                 fields[name] = value
             at += 10 + n
         start = end + (10 if data[start + 5] & 16 else 0)
-    while True:
+    while trailing:
         if stop - start >= 128 and data[stop - 128 : stop - 125] == b"TAG":
             tag = data[stop - 128 : stop]
             for name, a, b in (("title", 3, 33), ("artist", 33, 63), ("album", 63, 93), ("year", 93, 97)):
@@ -117,7 +118,8 @@ def tags(data: bytes) -> tuple[int, int, dict[str, str]]:
         elif stop - start >= 32 and data[stop - 32 : stop - 24] == b"APETAGEX":
             stop = max(start, stop - int.from_bytes(data[stop - 20 : stop - 16], "little") - (32 if data[stop - 9] & 128 else 0))
         else:
-            return start, stop, fields
+            break
+    return start, stop, fields
 
 
 def table(frame: bytes, version: float, channels: int) -> dict | None:
@@ -166,6 +168,15 @@ def find_frame(data: bytes, at: int, stop: int) -> int | None:
 def parse(data: bytes, every: int = 64) -> dict:
     """What the stream holds; ``payload`` are the ancillary bytes of frames that :func:`store` wrote."""
     start, stop, fields = tags(data)
+    if stop < len(data):  # what looks like a tag is payload where the last whole frame ends with the stream
+        out, end = _read(data, every, *tags(data, trailing=False))
+        if end == len(data):
+            return out
+    return _read(data, every, start, stop, fields)[0]
+
+
+def _read(data: bytes, every: int, start: int, stop: int, fields: dict[str, str]) -> tuple[dict, int | None]:
+    """What [start, stop) holds, and where its last frame ends if nothing unread follows."""
     at = start if _frame_at(data, start, stop) else find_frame(data, start, stop)
     out = {"frames": 0, "samples": 0, "rate": 0, "version": 0.0, "layer": 0, "channels": 0, "checked": 0, "crc_errors": 0, "resyncs": 0 if at == start else 1, "skipped": (at if at is not None else stop) - start, "low": 0, "high": 0, "seek": [], "table": None, "tags": fields}
     parts: list[bytes] = []
@@ -201,7 +212,7 @@ def parse(data: bytes, every: int = 64) -> dict:
         out["low"], out["high"] = min(out["low"] or kbit, kbit), max(out["high"], kbit)
         at += size
     out["parts"] = parts
-    return out
+    return out, at
 
 
 def duration(parsed: dict) -> tuple[int, int]:

@@ -75,3 +75,15 @@ def test_frame(spark, odd_docs):
         stored = mpeg.store(t)
         assert r.media_bytes == len(stored) and r.media_sha256 == hashlib.sha256(stored).hexdigest() and r.crc_errors == 0
     assert mpeg.digest(odd_docs.limit(0)).count() == 0
+
+
+def test_payload_is_no_trailing_tag():
+    for units, at in ((1, 89), (2, 329), (3, 521)):
+        for mark, place in ((b"TAG", at), (b"APETAGEX", at + 96)):
+            for before in (0, 8):  # whole frames in front
+                text = ("a" * (768 * before + place) + mark.decode()).ljust(768 * before + 192 * units, "b")
+                got = mpeg.parse(mpeg.store(text))
+                assert mpeg.payload_of(got) == payload(text) and got["resyncs"] == 0 and "title" not in got["tags"]
+    for n in range(60, 800):
+        text = "TAG" * n
+        assert mpeg.payload_of(mpeg.parse(mpeg.store(text))) == payload(text)
