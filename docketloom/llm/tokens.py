@@ -223,8 +223,9 @@ _MADE: dict[tuple[str, str, int], Encoder] = {}
 
 
 def encoder(path: str, kind: str, pieces: int = 1_000_000) -> Encoder:
-    """The worker's encoder for this file."""
+    """The worker's encoder for this file; one for another file goes, as a worker lives on between queries."""
     if (path, kind, pieces) not in _MADE:
+        _MADE.clear()
         _MADE[path, kind, pieces] = Encoder(path, kind, pieces)
     return _MADE[path, kind, pieces]
 
