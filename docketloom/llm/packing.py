@@ -1,11 +1,11 @@
 """Sequence packing as a cutting-stock problem solved by column generation.
 
 Documents longer than a sequence give whole sequences and a remainder; remainders and short documents are the stock's
-orders. Their lengths are counted in units of ``unit`` tokens (rounded up), so the problem has at most
-``length / unit`` order sizes whatever the corpus. The linear program over cutting patterns is solved on the driver: the
+orders. Their lengths are counted in units of ``unit`` tokens (rounded up) and a sequence's in whole units (rounded down; a
+piece longer than those stands alone), so the problem has at most ``length / unit`` order sizes whatever the corpus. The linear program over cutting patterns is solved on the driver: the
 simplex basis holds one pattern for each order size, and a knapsack dynamic program over the units prices new patterns.
-Rounded down, the patterns take nearly all orders; what is left, a number bounded by the basis and not by the corpus, is
-packed by first fit decreasing. Pieces are then ranked within their order size and each takes the slot of its rank.
+Rounded down, the patterns take nearly all orders; what is left, a number bounded by the basis and not by the corpus, goes
+into bins that each take the largest piece left and the others that fill it best. Pieces are then ranked within their order size and each takes the slot of its rank.
 
 Sizes on the driver and in the one broadcast: patterns and slots, bounded by the number of order sizes. Ranks are made from
 counts by (order size, salt), so an order size that holds a third of all pieces is still dealt to many tasks.
@@ -72,23 +72,29 @@ def knapsack(value: np.ndarray, size: np.ndarray, capacity: int) -> tuple[float,
     return float(best[capacity]), counts
 
 
-def solve(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 3000) -> list[tuple[np.ndarray, int]]:
+def solve(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 10_000, close: float = 1e-4) -> list[tuple[np.ndarray, int]]:
     """Patterns (copies of each size in a bin) and the number of bins of each, which together take exactly ``demand``.
 
-    ``size`` ascends. Column generation stops when no pattern prices out, or after ``rounds`` (the bins are then still
-    valid, only more of them)."""
+    ``size`` ascends. The first columns are single sizes and the patterns of a greedy filling; the knapsack prices new ones once
+    none of those improves. Column generation stops when no pattern is worth more than 1 + ``close`` (the bins are then within
+    that factor of the linear program's least number), or after ``rounds`` (the bins are still valid, only more of them)."""
     m = len(size)
     if not m:
         return []
     basis = np.diag(capacity // size).astype(float)
     inverse = np.diag(1.0 / np.diag(basis))
     amount = inverse @ demand
+    pool = np.array([p for p, _ in fill_rest(size, demand.astype(np.int64), capacity)], float).reshape(-1, m)
     for k in range(rounds):
         if k % 200 == 199:  # against rounding errors
             inverse = np.linalg.inv(basis)
             amount = np.maximum(0, inverse @ demand)
-        gain, pattern = knapsack(inverse.sum(0), size, capacity)
-        if gain <= 1 + 1e-7:
+        prices = inverse.sum(0)
+        worth = pool @ prices
+        gain, pattern = float(worth.max()), pool[int(worth.argmax())]
+        if gain <= 1 + close:
+            gain, pattern = knapsack(prices, size, capacity)
+        if gain <= 1 + close:
             break
         way = inverse @ pattern
         ratio = np.where(way > 1e-9, amount / np.where(way > 1e-9, way, 1), np.inf)
@@ -107,7 +113,34 @@ def solve(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 300
         if bins > 0:
             chosen.append((pattern, bins))
             left -= bins * pattern
-    return chosen + first_fit(size, left, capacity)
+    return chosen + fill_rest(size, left, capacity)
+
+
+def fill_rest(size: np.ndarray, count: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """Bins for what the patterns leave: each takes the largest piece left and those others that fill it best (subset sums)."""
+    left, out = count.copy(), []
+    while left.any():
+        pattern = np.zeros(len(size), np.int64)
+        top = int(np.flatnonzero(left)[-1])
+        pattern[top] = 1
+        room = capacity - int(size[top])
+        mask, reached, steps = (1 << (room + 1)) - 1, 1, []  # bit n: some pieces have n units together
+        for k in np.flatnonzero(left)[::-1].tolist():
+            for _ in range(min(int(left[k]) - (k == top), room // int(size[k]))):
+                steps.append((k, reached))
+                reached |= reached << int(size[k]) & mask
+            if reached >> room & 1:
+                break
+        at = reached.bit_length() - 1
+        for k, before in reversed(steps):
+            if not before >> at & 1:
+                pattern[k] += 1
+                at -= int(size[k])
+        used = pattern > 0
+        bins = int((left[used] // pattern[used]).min())
+        out.append((pattern, bins))
+        left -= bins * pattern
+    return out
 
 
 def first_fit(size: np.ndarray, count: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
@@ -139,12 +172,15 @@ def slots(size: np.ndarray, chosen: list[tuple[np.ndarray, int]]) -> list[tuple[
 def pack(docs: DataFrame, tokenizer: str, kind: str = "words", end: int = 2, length: int = 4096, unit: int = 16) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text) with the sequence and offset that each one takes."""
     spark: SparkSession = docs.sparkSession
+    capacity = length // unit
+    if capacity < 1:
+        raise ValueError(f"a sequence of {length} tokens holds no unit of {unit}")
     salts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    made = cut(pieces(docs, tokenizer, kind, end, length).withColumns({"units": F.ceil(F.col("length") / unit).cast("int"), "salt": F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int")}))
+    made = cut(pieces(docs, tokenizer, kind, end, length).withColumns({"units": F.least(F.ceil(F.col("length") / unit), F.lit(capacity)).cast("int"), "salt": F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int")}))
     counts = made.groupBy("units", "salt").agg(F.count("*").alias("n"))
     orders = sorted((r.units, r.n) for r in counts.groupBy("units").agg(F.sum("n").alias("n")).collect())
     size, demand = np.array([u for u, _ in orders], np.int64), np.array([n for _, n in orders], np.int64)
-    held = spark.createDataFrame(slots(size, solve(size, demand, -(-length // unit))), "units int, since long, until long, per long, first long")
+    held = spark.createDataFrame(slots(size, solve(size, demand, capacity)), "units int, since long, until long, per long, first long")
     before = Window.partitionBy("units").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("units", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("units", "salt").orderBy("doc_id", "start", "ids_crc32")
