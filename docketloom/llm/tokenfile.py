@@ -3,9 +3,9 @@
 Ids are counted over the whole corpus; package-merge gives code lengths of at most ``most`` bits, and canonical codes follow
 from the lengths alone, so the codebook is one length for each id. A block holds whole documents in ascending doc_id order:
 
-    4 bytes   DHF1
-    4 x u32   documents, tokens, checkpoints, tokens from one checkpoint to the next
-    i64 each  doc_id of each document
+    4 bytes   DHF2
+    5 x u32   documents, tokens, checkpoints, tokens from one checkpoint to the next, documents without an id (the first ones)
+    i64 each  doc_id of each document (0 for those without)
     u32 each  tokens of each document
     u32 each  bit offset of each checkpoint; every document begins with one, at a whole byte
     bytes     the codes, most significant bit first
@@ -14,11 +14,13 @@ A checkpoint is a place where decoding can begin, so a block is decoded along al
 window of ``most`` bits at each place is looked up in a table that gives the id and the length of its code.
 
 The folder holds ``codebook`` (id, bits) and ``blocks`` (part, block, tokens of the part before the block, tokens, data), in
-Parquet, so any store that Spark writes to will do. Parts are disjoint ranges of doc_id in ascending order; the ranges come
-from quantiles of doc_id, so no range depends on a hot source or text.
+Parquet, so any store that Spark writes to will do. Parts are ranges of doc_id in ascending order; the ranges come from
+quantiles of doc_id, so no range depends on a hot source or text. A doc_id that fills several quantiles has as many parts, and
+rows without a doc_id have parts of their own by their share, in front. The encoded ids, which are written only to be counted
+and coded, are deleted once the blocks stand; ``codebook`` and ``blocks`` stay until the caller, who reads them, deletes the folder.
 
-Defined cases: a null or empty text is its end id alone; rows with one doc_id stand one after another; rows without a doc_id
-have no place in the order and are left out. An empty table gives files without blocks.
+Defined cases: a null or empty text is its end id alone; rows without a doc_id come first; rows with one doc_id (or none) stand
+one after another in no particular order. An empty table gives files without blocks.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import per_batch, shared_folder, utf8
 from .tokens import encoded
 
-MAGIC = b"DHF1"
+MAGIC = b"DHF2"
 STEP = 128
 BLOCK_TOKENS = 65_536
 MOST_BITS = 18
@@ -135,20 +137,21 @@ def read_bits(data: np.ndarray, marks: np.ndarray, tokens: np.ndarray, step: int
     return out
 
 
-def make_block(doc_ids: list[int], tokens: list[int], marks: list[np.ndarray], data: list[bytes], step: int = STEP) -> bytes:
+def make_block(doc_ids: list[int | None], tokens: list[int], marks: list[np.ndarray], data: list[bytes], step: int = STEP) -> bytes:
     starts = np.cumsum([0, *map(len, data)])[:-1] * 8
     places = np.concatenate([m.astype(np.int64) + s for m, s in zip(marks, starts, strict=True)]) if marks else np.zeros(0)
-    head = MAGIC + struct.pack("<4I", len(doc_ids), sum(tokens), len(places), step)
-    return b"".join([head, np.array(doc_ids, "<i8").tobytes(), np.array(tokens, "<u4").tobytes(), places.astype("<u4").tobytes(), *data])
+    nameless = sum(d is None for d in doc_ids)  # they come first
+    head = MAGIC + struct.pack("<5I", len(doc_ids), sum(tokens), len(places), step, nameless)
+    return b"".join([head, np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array(tokens, "<u4").tobytes(), places.astype("<u4").tobytes(), *data])
 
 
-def read_block(block: bytes, table: tuple[np.ndarray, np.ndarray, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def read_block(block: bytes, table: tuple[np.ndarray, np.ndarray, int]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(doc_ids, tokens of each document, ids of all documents)."""
     if block[:4] != MAGIC:
         raise ValueError("not a token block")
-    docs, _, places, step = struct.unpack("<4I", block[4:20])
-    at = 20
-    doc_ids = np.frombuffer(block, "<i8", docs, at)
+    docs, _, places, step, nameless = struct.unpack("<5I", block[4:24])
+    at = 24
+    doc_ids = pa.array(np.frombuffer(block, "<i8", docs, at).astype(np.int64), mask=np.arange(docs) < nameless)
     tokens = np.frombuffer(block, "<u4", docs, at := at + 8 * docs).astype(np.int64)
     marks = np.frombuffer(block, "<u4", places, at := at + 4 * docs)
     data = np.frombuffer(block, np.uint8, -1, at + 4 * places)
@@ -166,7 +169,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, kind: str, end: in
         width = 4 if small is None else 2
         return {"doc_id": batch.column("doc_id"), "tokens": np.diff(offsets), "width": np.full(batch.num_rows, width, np.int32), "ids": binary(flat, offsets * width)}
 
-    per_batch(docs.select("doc_id", "text").filter("doc_id is not null"), ids_of, "doc_id long, tokens long, width int, ids binary").write.option("compression", "zstd").parquet(f"{folder}/ids")
+    per_batch(docs.select("doc_id", "text"), ids_of, "doc_id long, tokens long, width int, ids binary").write.option("compression", "zstd").parquet(f"{folder}/ids")
     known = spark.read.parquet(f"{folder}/ids")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,11 +203,16 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, kind: str, end: in
         return {"doc_id": batch.column("doc_id"), "tokens": tokens, "marks": binary(marks.astype("<u4").view(np.uint8), np.concatenate([[0], np.cumsum(n)]) * 4), "data": binary(data, base)}
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = known.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
-    steps = sorted(set(bounds or []))
-    part = F.size(F.filter(F.array(*map(F.lit, steps)).cast("array<bigint>"), lambda x: x <= F.col("doc_id"))) if steps else F.lit(0)
+    seen = known.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10_000) if parts > 1 else F.lit(None), F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    bounds = F.array(*map(F.lit, sorted(seen[0] or []))).cast("array<bigint>")
+    nameless = -(-parts * seen[2] // max(1, seen[1]))
+    mark = F.xxhash64("data")
+    below = F.size(F.filter(bounds, lambda x: x < F.col("doc_id")))
+    equal = F.size(F.filter(bounds, lambda x: x == F.col("doc_id")))
+    placed = nameless + below + F.when(equal > 0, 1 + F.pmod(mark, F.greatest(equal, F.lit(1)))).otherwise(0)
+    part = F.when(F.col("doc_id").isNull(), F.pmod(mark, F.lit(max(1, nameless)))).otherwise(placed).cast("int")
     coded = per_batch(known, encode, "doc_id long, tokens long, marks binary, data binary", "ids")
-    dealt = coded.withColumn("part", part).repartitionById(len(steps) + 1, F.col("part")).sortWithinPartitions("part", "doc_id")
+    dealt = coded.withColumn("part", part).repartitionById(nameless + parts, F.col("part")).sortWithinPartitions("part", "doc_id")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, held, size, number, done, own = ["part", "block", "before", "tokens", "data"], [], 0, 0, 0, None
@@ -226,6 +234,8 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, kind: str, end: in
             yield flush()
 
     dealt.mapInArrow(blocks, "part int, block long, before long, tokens long, data binary").write.option("compression", "none").parquet(f"{folder}/blocks")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/ids")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def binary(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -251,7 +261,7 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(tokens)])
                 ids = ids.astype("<u4")
                 crc = [crc32(ids[a:b].data) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(docs.astype(np.int64)), pa.array(ends[:-1] + before + parts[part]), pa.array(tokens), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([docs, pa.array(ends[:-1] + before + parts[part]), pa.array(tokens), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return stored.select("part", "before", "data").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

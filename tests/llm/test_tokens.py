@@ -156,3 +156,26 @@ def test_token_files(spark, odd_docs):
         at += len(ids)
     assert tokenfile.round_trip(docs.limit(0), P.path(FILES["spaced"])).count() == 0
     assert tokenfile.round_trip(odd_docs, P.path(FILES["spaced"])).count() == odd_docs.count()
+
+
+def test_token_files_with_rows_without_id_and_a_repeated_id(spark):
+    rows = [(None, f"none {k}") for k in range(40)] + [(7, f"seven {k}") for k in range(60)] + [(k, f"own text {k}") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(rows_of(tokenfile.round_trip(docs, P.path(FILES["spaced"]))), key=lambda r: r["start"])
+    assert [r["doc_id"] is None for r in got] == [True] * 40 + [False] * 80
+    ids = [r["doc_id"] for r in got[40:]]
+    assert ids == sorted(ids) and ids.count(7) == 61
+    at = 0
+    for r in got:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    want = sorted(crc32(np.array(x, "<u4").tobytes()) for x in plain("spaced", [t for _, t in rows], 0))
+    assert sorted(r["ids_crc32"] for r in got) == want
+
+
+def test_a_length_of_no_whole_units_never_overflows(spark):
+    docs = spark.createDataFrame([(i, "word " * (31 if i % 2 else 62)) for i in range(40)], "doc_id long, text string")
+    rows = rows_of(packing.pack(docs, P.path(FILES["words"]), length=63, unit=16))
+    check_packing(rows, {}, 63)
+    with pytest.raises(ValueError):
+        packing.pack(docs, P.path(FILES["words"]), length=8, unit=16)
