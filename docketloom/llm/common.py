@@ -17,14 +17,17 @@ ARROW_ROWS = 1024
 def prepare(spark: SparkSession) -> None:
     """Bound the Arrow batches of this session and make sure that there is a checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir``; only where that is unset (local tests) one is chosen here.
+    The folder comes from ``spark.checkpoint.dir``; where that is unset one is chosen here in local mode, and nowhere else.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         import tempfile
 
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="docketloom-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not (context.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="docketloom-"))
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -35,6 +38,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """A column name like ``name`` that no column of ``frames`` has, whatever its case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while f"_{name}" in taken:
+        name = f"{name}_"
+    return f"_{name}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from the written rows; survives lost executors."""
     prepare(df.sparkSession)

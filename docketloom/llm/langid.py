@@ -7,12 +7,14 @@ codeword with the smallest loss, the sum over bits of log(1 + exp(-bit * margin)
 training; the score is the softmax of the negated losses, and a text whose second codeword comes within ``near`` of the
 first is flagged ambiguous.
 
-The model is fitted on a bounded sample: at most ``per_language`` training rows for each language, those with the smallest
-hash of their id. Only their feature counts reach the driver. All texts are scored, whole, without a shuffle.
+The model is fitted on a bounded sample: at most ``per_language`` distinct training rows for each language, those with the
+smallest hash of their id; rows of one id, language and features count once. A bound on the hash, from the approximate number
+of ids of each language, leaves about twice as many rows before they are ranked, so no language is sorted in one task. Only
+the sample's features (8 KB a row) reach the driver. All texts are scored, whole, without a shuffle.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; with one language every other text is that
 language; with no labelled row all are ``und``. Repeated rows are scored each; null ids are training rows of no fold and are
-left out of it. Extra columns pass through :func:`identify`; columns named as its results are replaced.
+left out of it. Extra columns pass through :func:`identify`, whatever their names; columns named as its results are replaced.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cache
 from itertools import combinations
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import per_batch, prepare, slices
+from .common import per_batch, prepare, slices, unused
 
 FEATURES = 4096
 UNKNOWN = "und"
@@ -145,17 +148,25 @@ def fold_of(doc_id: Column, folds: int) -> Column:
 def fit(docs: DataFrame, per_language: int = 500, folds: int = 4, held: int = 2, near: float = 0.2) -> Model:
     """Train on rows (doc_id, text, lang) outside the held-out fold."""
     prepare(docs.sparkSession)
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), folds) != held)).select("doc_id", "lang")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
-    picked = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("doc_id", "text", "lang")  # at most per_language rows a language
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), folds) != held)).select("doc_id", "text", "lang")
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}  # one row a language
+    if not sizes:
+        return train(np.zeros((0, FEATURES), np.float32), [], near)
+    spread = 1 << 20
+    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(spread, spread * (2 * per_language + 200) // max(1, n)))))
+    picked = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(spread)) < share[F.col("lang")])
 
     def counted(batch: pa.RecordBatch) -> dict:
         x, known = features(batch.column("text").to_pylist())
-        return {"doc_id": batch.column("doc_id"), "lang": batch.column("lang"), "known": pa.array(known), "x": [r.astype(np.float16).tobytes() for r in x]}
-
-    sample = per_batch(picked, counted, "doc_id long, lang string, known boolean, x binary").filter("known").collect()
-    sample.sort(key=lambda r: (r.doc_id, bytes(r.x)))
+        made = [r.astype(np.float16).tobytes() for r in x]
+        return {"doc_id": batch.column("doc_id"), "lang": batch.column("lang"), "known": pa.array(known), "same": [crc32(r) for r in made], "x": made}
+
+    sampled = per_batch(picked, counted, "doc_id long, lang string, known boolean, same long, x binary").filter("known")
+    distinct = sampled.groupBy("doc_id", "lang", "same").agg(F.first("x").alias("x"))  # combined before the shuffle
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
+    first = Window.partitionBy("lang").orderBy(place, "doc_id", "same")
+    sample = distinct.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language).collect()  # at most per_language rows a language
+    sample.sort(key=lambda r: (r.doc_id, r.lang, r.same))
     x = np.stack([np.frombuffer(r.x, np.float16).astype(np.float32) for r in sample]) if sample else np.zeros((0, FEATURES), np.float32)
     return train(x, [r.lang for r in sample], near)
 
@@ -178,8 +189,9 @@ def prediction(model: Model, text: Column, spark) -> Column:
 
 def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``df`` with lang_pred, score and ambiguous."""
-    made = df.withColumn("_language", prediction(model, F.col(text), df.sparkSession))
-    return made.withColumns({c: F.col(f"_language.{c}") for c in ("lang_pred", "score", "ambiguous")}).drop("_language")
+    own = unused("language", df)
+    made = df.withColumn(own, prediction(model, F.col(text), df.sparkSession))
+    return made.withColumns({c: F.col(f"{own}.{c}") for c in ("lang_pred", "score", "ambiguous")}).drop(own)
 
 
 def digest(docs: DataFrame, per_language: int = 500) -> DataFrame:

@@ -62,3 +62,19 @@ def test_odd_documents(spark, odd_docs):
     none = docs.withColumn("lang", langid.F.lit(None).cast("string"))
     assert {r.lang_pred for r in langid.digest(none).collect()} == {"und"}
     assert langid.digest(docs.limit(0)).count() == 0
+
+
+def test_a_repeated_id_keeps_the_sample_bounded(spark):
+    rows = corpus() + [(0, "abc cde", "aa")] * 10_000 + [(4, f"abc {'abcde'[k % 5] * (k % 40 + 1)}", "aa") for k in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    seen = []
+    train = langid.train
+    langid.train = lambda x, language, near: seen.append((len(x), language)) or train(x, language, near)
+    try:
+        model = langid.fit(docs, per_language=20)
+    finally:
+        langid.train = train
+    [(n, language)] = seen
+    assert n == 80 and all(language.count(v) == 20 for v in ALPHABETS)
+    got = langid.identify(docs.withColumns({"_language": langid.F.lit(1), "_LANGUAGE_": langid.F.lit(2)}), model)
+    assert {"_language", "_LANGUAGE_"} < set(got.columns) and got.filter("_language = 1 and _LANGUAGE_ = 2 and lang_pred = lang").count() > 12_000
