@@ -10,11 +10,13 @@ Weights come from labels: for word beginnings of four to eight letters and whole
 them; a term is taken whose toxic rows outweigh the others clearly, and longer ones that a taken beginning covers are not.
 Rows that share their smallest word hash (copies, near copies) count as one, so a copied text can't make its words look
 telling. The terms of ``SEED`` are in any lexicon, with a weight that labels can lower. Labels are read for at most ``most``
-toxic and ``most`` other training rows, those with the smallest hash of their id; their distinct words reach the driver.
+toxic and ``most`` other labelled documents outside the held-out fold, those with the smallest hash of their id. Only terms that
+enough toxic rows hold, and for the curve three numbers a row, reach the driver; texts and words don't.
 
 Defined cases: null and empty texts have no match and score as such; without labelled rows of both kinds the seed terms have
-weight 1 and a fixed curve; a doc_id labelled twice counts once, as toxic if one of them says so; repeated documents are
-scored each; other columns pass through, those named as the results are replaced.
+weight 1 and a fixed curve; a doc_id labelled twice counts once, as toxic if one of them says so; of the texts of one doc_id
+one is learnt from; repeated documents are scored each; other columns pass through, whatever their names, those named as the
+results are replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_batch, prepare, slices
+from .common import cut, per_batch, prepare, slices, unused
 from .langid import fold_of
 
 SEED = ("disgusting", "dumbass", "idiot", "imbecile", "loser", "moron", "pathetic", "retard", "scum", "scumbag", "stupid", "worthless")
@@ -42,20 +44,21 @@ HOMOGLYPHS = dict(zip("аеорсухіјѕԁӏһкмтвнгпαβεηικνο
 SIGNS = dict(zip("0134578@$€", "oleastbase", strict=True))
 
 
+def folded(c: str) -> int:
+    """The folded letter of a character; a space for what is none, 0 for what goes without a trace."""
+    if unicodedata.combining(c):
+        return 0
+    x = c.lower()
+    x = HOMOGLYPHS.get(x, x)
+    x = unicodedata.normalize("NFKD", x)[:1].lower()
+    x = HOMOGLYPHS.get(x, x)
+    x = SIGNS.get(x, x)
+    return ord("i" if x == "l" else x) if len(x) == 1 and x.isalpha() else 32
+
+
 @cache
 def _fold_table() -> np.ndarray:
-    """The folded letter of each code point; a space for what is none."""
-    out = np.full(0x10000, 32, np.uint32)
-    for c in range(0x10000):
-        x = chr(c).lower()
-        x = HOMOGLYPHS.get(x, x)
-        x = unicodedata.normalize("NFKD", x)[:1] if x else x
-        x = SIGNS.get(HOMOGLYPHS.get(x, x), HOMOGLYPHS.get(x, x))
-        if x.isalpha():
-            out[c] = ord("i" if x == "l" else x)
-        elif unicodedata.combining(chr(c)):
-            out[c] = 0  # goes without a trace
-    return out
+    return np.array([folded(chr(c)) for c in range(0x10000)], np.uint32)
 
 
 def fold(texts: list[str | None]) -> str:
@@ -64,7 +67,10 @@ def fold(texts: list[str | None]) -> str:
     ends = np.cumsum([len(t) + 2 for t in texts])
     points = np.frombuffer("".join(" " + t + "\n" for t in texts).encode("utf-32-le", "surrogatepass"), "<u4")
     out = _fold_table()[np.minimum(points, 0xFFFF)].copy()
-    out[points > 0xFFFF] = 32
+    high = points > 0xFFFF
+    if high.any():
+        own, at = np.unique(points[high], return_inverse=True)
+        out[high] = np.array([folded(chr(c)) for c in own.tolist()], np.uint32)[at]
     out[ends - 1] = 10
     keep = out > 0
     keep[1:] &= ~((out[1:] == 32) & (out[:-1] == 32))
@@ -126,72 +132,90 @@ def _term(word: str) -> str:
     return fold([word]).rstrip("\n").rstrip(" ")
 
 
-def learn(rows: list[tuple[int, int, str]], least: int = 5, floor: float = 0.004) -> Lexicon:
-    """A lexicon, its curve yet to be fitted, from (toxic, group of copies, distinct folded words) of training rows."""
+def terms_of(words: str) -> set[str]:
+    """Word beginnings of four to eight letters, and whole words with a space behind."""
+    out = set()
+    for w in words.split():
+        out.update(w[:k] for k in range(4, min(len(w), 8) + 1))
+        out.add(w + " ")
+    return out
+
+
+def learn(toxic: dict[str, float], other: dict[str, float], n: tuple[int, int], least: float) -> Lexicon:
+    """A lexicon, its curve yet to be fitted, from how many toxic and other rows hold each term (of ``n`` of each kind)."""
     exceptions = tuple(_term(p) + " " for p in EXCEPTIONS)
     seeds = {_term(w): 1.0 for w in SEED}
-    copies = Counter((toxic, group) for toxic, group, *_ in rows)
-    n = [sum(1 for t, _ in copies if t == k) for k in (0, 1)]
     if not all(n):
-        return Lexicon(seeds, exceptions, FIXED)
-    held: tuple[Counter, Counter] = Counter(), Counter()
-    for toxic in (1, 0):  # of the other rows only those terms are counted that enough toxic rows hold
-        for kind, group, words in rows:
-            if kind == toxic:
-                terms = set()
-                for w in words.split():
-                    terms.update(w[:k] for k in range(4, min(len(w), 8) + 1))
-                    terms.add(w + " ")
-                share = 1 / copies[kind, group]
-                for t in terms if toxic else terms & held[1].keys():
-                    held[toxic][t] += share
-        if toxic:
-            names = {s[1:] for s in seeds}
-            kept = {t: c for t, c in held[1].items() if c >= max(least, floor * n[1]) or t.rstrip(" ") in names}
-            held = Counter(), Counter(kept)
+        return Lexicon({t + " ": w for t, w in seeds.items()}, exceptions, FIXED)
     taken: dict[str, float] = {}
-    for term in sorted((t for t, c in held[1].items() if c >= max(least, floor * n[1])), key=lambda t: (len(t), t)):
+    for term in sorted((t for t, c in toxic.items() if c >= least), key=lambda t: (len(t), t)):
         if any(" " + term[:k] in taken for k in range(4, len(term))):
             continue
-        a, b = held[1][term] / n[1], held[0][term] / n[0]
+        a, b = toxic[term] / n[0], other.get(term, 0) / n[1]
         if a >= 20 * b:
-            taken[" " + term] = float(min(3.0, np.log(((held[1][term] + 0.5) / (n[1] + 1)) / ((held[0][term] + 0.5) / (n[0] + 1)))) / 3)
+            taken[" " + term] = float(min(3.0, np.log(((toxic[term] + 0.5) / (n[0] + 1)) / ((other.get(term, 0) + 0.5) / (n[1] + 1)))) / 3)
     for term, weight in seeds.items():
         own = term[1:]
-        if own + " " in held[1]:
-            a, b = held[1][own + " "] / n[1], held[0][own + " "] / n[0]
+        if own + " " in toxic:
+            a, b = toxic[own + " "] / n[0], other.get(own + " ", 0) / n[1]
             weight = 1.0 if a >= 3 * b else 0.3 if a >= b else 0.0
         if weight and not any(term.startswith(t.rstrip()) for t in taken):
             taken[term + " "] = weight
     return Lexicon(taken, exceptions, FIXED)
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 3000, folds: int = 5, held: int = 0) -> Lexicon:
-    """Learn from the labels (doc_id, toxic) of ``docs`` (doc_id, text) outside the held-out fold."""
+def fit(docs: DataFrame, labels: DataFrame, most: int = 3000, folds: int = 5, held: int = 0, rows: int = 5, share: float = 0.004) -> Lexicon:
+    """Learn from the labels (doc_id, toxic) of ``docs`` (doc_id, text) outside the held-out fold. A term must stand in at least
+    ``rows`` toxic rows and in the ``share`` of them."""
     prepare(docs.sparkSession)
     known = labels.filter("doc_id is not null and toxic is not null").filter(fold_of(F.col("doc_id"), folds) != held).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = cut(known.join(docs.select("doc_id"), "doc_id", "left_semi"))
     sizes = {int(r.toxic): r["count"] for r in known.groupBy("toxic").count().collect()}
     picks = [known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for k in (0, 1)]
     chosen = picks[0].union(picks[1]).select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic"))
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_toxic")  # at most 2 * most rows
+    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_toxic")  # at most 2 * most ids
 
     def bags(batch: pa.RecordBatch) -> dict:
         groups, bag = [], []
         for words in fold(batch.column("text").to_pylist()).split("\n")[:-1]:
             own = set(words.split())
-            hashes = [_stable(w) for w in own]
-            groups.append(min(hashes, default=0))
+            groups.append(min(map(_stable, own), default=0))
             bag.append(" ".join(sorted(own)))
         return {"doc_id": batch.column("doc_id"), "toxic": batch.column("_toxic").cast(pa.int32()), "group": groups, "bag": bag, "text": batch.column("text")}
 
-    rows = per_batch(picked, bags, "doc_id long, toxic int, group long, bag string, text string").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    lexicon = learn([(r.toxic, r.group, r.bag) for r in rows])
-    if len({r.toxic for r in rows}) < 2:
+    made = per_batch(picked, bags, "doc_id long, toxic int, group long, bag string, text string")
+    held_rows = cut(made.groupBy("doc_id").agg(F.min(F.struct("group", "bag", "text", "toxic")).alias("r")).select("doc_id", "r.*"))
+    copies = {(r.toxic, r.group): r["count"] for r in held_rows.groupBy("toxic", "group").count().collect()}  # at most 2 * most rows
+    n = tuple(sum(1 for t, _ in copies if t == k) for k in (1, 0))
+    least = max(rows, share * n[0])
+    names = [_term(w)[1:] for w in SEED]
+
+    def counted(kind: int, wanted: set[str] | None):
+        def count(batch: pa.RecordBatch) -> dict:
+            out: Counter = Counter()
+            for group, bag in zip(batch.column("group").to_pylist(), batch.column("bag").to_pylist(), strict=True):
+                own = terms_of(bag)
+                for t in own if wanted is None else own & wanted:
+                    out[t] += 1 / copies[kind, group]
+            return {"term": list(out), "n": list(out.values())}
+
+        return per_batch(held_rows.filter(F.col("toxic") == kind).select("group", "bag"), count, "term string, n double", "bag").groupBy("term").agg(F.round(F.sum("n"), 6).alias("n"))
+
+    own = [x + end for x in names for end in ("", " ")]
+    toxic = {r.term: r.n for r in counted(1, None).filter((F.col("n") >= least) | F.col("term").isin(own)).collect()} if all(n) else {}  # at most 1 / share times a row's terms
+    other = {r.term: r.n for r in counted(0, set(toxic)).collect()} if toxic else {}
+    lexicon = learn(toxic, other, n, least)
+    if not all(n):
         return lexicon
-    total, _, words = lexicon.sums([r.text for r in rows], lexicon.automaton())
-    y = np.array([r.toxic for r in rows], float)
+
+    def summed(batch: pa.RecordBatch) -> dict:
+        total, _, words = lexicon.sums(batch.column("text").to_pylist(), lexicon.automaton())
+        return {"doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"), "total": total, "words": words}
+
+    got = per_batch(held_rows.select("doc_id", "toxic", "text"), summed, "doc_id long, toxic int, total double, words long").orderBy("doc_id").collect()  # at most 2 * most rows
+    y = np.array([r.toxic for r in got], float)
     weight = np.where(y == 1, sizes.get(1, 0) / max(1, y.sum()), sizes.get(0, 0) / max(1, (1 - y).sum()))
-    lexicon.curve = tuple(curve(shaped(total, words), y, weight / weight.mean()).tolist())
+    lexicon.curve = tuple(curve(shaped(np.array([r.total for r in got]), np.array([r.words for r in got])), y, weight / weight.mean()).tolist())
     return lexicon
 
 
@@ -236,8 +260,9 @@ def add_scores(df: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame
             parts.append(pd.DataFrame({"score": score, "predicted": (score >= 0.5).astype(np.int32), "matches": matches.astype(np.int32)}))
         return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"score": [], "predicted": [], "matches": []})
 
-    scored_df = df.withColumn("_toxicity", scored.asNondeterministic()(F.col(text)))
-    return scored_df.withColumns({c: F.col(f"_toxicity.{c}") for c in ("score", "predicted", "matches")}).drop("_toxicity")
+    own = unused("toxicity", df)
+    scored_df = df.withColumn(own, scored.asNondeterministic()(F.col(text)))
+    return scored_df.withColumns({c: F.col(f"{own}.{c}") for c in ("score", "predicted", "matches")}).drop(own)
 
 
 def digest(docs: DataFrame, labels: DataFrame, most: int = 3000) -> DataFrame:

@@ -19,6 +19,7 @@ def matches(text):
 
 def test_fold():
     assert fold(["A b"]) == " a b \n" and fold([None, ""]) == " \n \n"
+    assert fold(["𝐈𝐝𝐢𝐨𝐭 🙂"]) == fold(["idiot "]) and fold(["𝟏𝖉𝟏𝟎𝖳"]) == fold(["idiot"])
     assert fold(["1D10T"]) == fold(["idiot"]) == fold(["ІDІОТ"]) == fold(["ｉｄｉｏｔ"]) == fold(["ídïöt"])
 
 
@@ -72,3 +73,14 @@ def test_odd_documents(spark, odd_docs):
     assert toxicity.digest(odd_docs.limit(0), labels).count() == 0
     scored = toxicity.add_scores(odd_docs.withColumn("score", toxicity.F.lit("clash")), lexicon())
     assert sorted(scored.columns) == sorted([*odd_docs.columns, "score", "predicted", "matches"])
+
+
+def test_repeated_ids_and_labels_without_documents(spark):
+    docs, labels = corpus()
+    d = spark.createDataFrame([*docs, *[(1, docs[1][1] + f" {k}", "en", "s") for k in range(3000)]], "doc_id long, text string, lang string, source string")
+    far = [(10_000 + i, 0, i % 2) for i in range(2000)]
+    lab = spark.createDataFrame(labels + far, "doc_id long, quality int, toxic int")
+    plain = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert toxicity.fit(d, lab, most=60) == toxicity.fit(d, plain, most=60)
+    seen = toxicity.add_scores(d.withColumn("_toxicity", toxicity.F.lit("clash")), toxicity.fit(d, lab))
+    assert "_toxicity" in seen.columns and seen.filter("_toxicity = 'clash'").count() == 3400
