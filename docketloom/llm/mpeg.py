@@ -2,8 +2,8 @@
 
 :func:`parse` reads any MPEG-1, -2 or -2.5 stream of layers I to III: it skips ID3v2 tags (with extended size and footer),
 ID3v1 and APE tags, finds the first frame by a header whose successor at the computed distance is one of the same kind, and
-after damage resynchronises in the same way; it reads Xing/Info and VBRI tables, verifies the CRC-16 of protected frames, and
-counts samples, so the duration is an exact fraction of samples and rate. Every ``every``-th frame's byte offset is kept for
+after damage resynchronises in the same way; it reads Xing/Info and VBRI tables, verifies the CRC-16 of protected frames of
+all three layers (over the bits that each layer protects), and counts samples, so the duration is an exact fraction of samples and rate. Every ``every``-th frame's byte offset is kept for
 seeking.
 
 :func:`store` writes bytes losslessly as a Layer III stream of silence: frames without main data, whose ancillary bytes are
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import cache
+from functools import cache, lru_cache
 from math import gcd
 from zlib import crc32
 
@@ -42,7 +42,7 @@ RATES = (44_100, 48_000, 32_000)
 UNIT = 192
 
 
-@cache
+@lru_cache(4096)
 def header(word: int) -> tuple | None:
     """(version, layer, protected, kbit/s, Hz, bytes of the frame, samples, channels) of a frame header, or None."""
     version = {3: 1.0, 2: 2.0, 0: 2.5}.get(word >> 19 & 3)
@@ -82,7 +82,67 @@ def side_bytes(version: float, channels: int) -> int:
     return (17 if channels == 1 else 32) if version == 1 else (9 if channels == 1 else 17)
 
 
-@cache
+#: Layer II bit allocation by table: (subbands, bits of each one's allocation). Fixed values of ISO/IEC 11172-3 and 13818-3.
+ALLOCATION = {
+    "a": ((11, 4), (12, 3), (4, 2)),
+    "b": ((11, 4), (12, 3), (7, 2)),
+    "c": ((2, 4), (6, 3)),
+    "d": ((2, 4), (10, 3)),
+    "low": ((4, 4), (7, 3), (19, 2)),
+}
+
+
+def allocation_bits(version: float, kbit: int, hertz: int, channels: int) -> list[int]:
+    """Bits of each subband's allocation in a Layer II frame."""
+    each = kbit // channels
+    if version != 1:
+        name = "low"
+    elif each >= 56 and (hertz == 48_000 or each <= 80):
+        name = "a"
+    elif each >= 96:
+        name = "b"
+    else:
+        name = "d" if hertz == 32_000 else "c"
+    return [bits for count, bits in ALLOCATION[name] for _ in range(count)]
+
+
+def protected_bits(data: bytes, at: int, found: tuple) -> int | None:
+    """How many bits behind the checksum it covers, of the frame at ``at``; None where the frame is too short for them."""
+    version, layer, _, kbit, hertz, size, _, channels = found
+    if layer == 3:
+        bits = 8 * side_bytes(version, channels)
+    else:
+        mode = data[at + 3]
+        widths = [4] * 32 if layer == 1 else allocation_bits(version, kbit, hertz, channels)
+        joint = 4 * ((mode >> 4 & 3) + 1) if mode >> 6 == 1 else len(widths)  # from there on both channels share
+        bits = sum(w * (channels if k < joint else 1) for k, w in enumerate(widths))
+        if layer == 2:  # two bits of scale factor selection for each channel of a subband that holds anything
+            if 6 + -(-bits // 8) > size:
+                return None
+            value, left = int.from_bytes(data[at + 6 : at + 6 + -(-bits // 8)]), -(-bits // 8) * 8
+            chosen = 0
+            for k, w in enumerate(widths):
+                for _ in range(channels if k < joint else 1):
+                    left -= w
+                    chosen += (value >> left & ((1 << w) - 1) > 0) * (1 if k < joint else channels)
+            bits += 2 * chosen
+    return bits if 48 + bits <= 8 * size else None
+
+
+def checksum_holds(data: bytes, at: int, found: tuple) -> bool:
+    """Does the CRC-16 of the protected frame at ``at`` hold? It covers the last two header bytes and the protected bits."""
+    bits = protected_bits(data, at, found)
+    if bits is None:
+        return False
+    whole, rest = divmod(bits, 8)
+    value = _silent_crc(data[at + 2 : at + 4] + data[at + 6 : at + 6 + whole])
+    for k in range(rest):
+        bit = data[at + 6 + whole] >> (7 - k) & 1
+        value = (value << 1 & 0xFFFF) ^ (0x8005 if bit ^ value >> 15 else 0)
+    return value == int.from_bytes(data[at + 4 : at + 6])
+
+
+@lru_cache(4096)
 def _silent_crc(data: bytes) -> int:
     return crc16(data)
 
@@ -177,7 +237,7 @@ def parse(data: bytes, every: int = 64) -> dict:
 
 def _read(data: bytes, every: int, start: int, stop: int, fields: dict[str, str]) -> tuple[dict, int | None]:
     """What [start, stop) holds, and where its last frame ends if nothing unread follows."""
-    at = start if _frame_at(data, start, stop) else find_frame(data, start, stop)
+    at = find_frame(data, start, stop)
     out = {"frames": 0, "samples": 0, "rate": 0, "version": 0.0, "layer": 0, "channels": 0, "checked": 0, "crc_errors": 0, "resyncs": 0 if at == start else 1, "skipped": (at if at is not None else stop) - start, "low": 0, "high": 0, "seek": [], "table": None, "tags": fields}
     parts: list[bytes] = []
     while at is not None and at + 4 <= stop:
@@ -197,13 +257,11 @@ def _read(data: bytes, every: int, start: int, stop: int, fields: dict[str, str]
                 continue
         body = at + 4
         if protected:
-            if layer == 3:
-                side = side_bytes(version, channels)
-                out["checked"] += 1
-                out["crc_errors"] += _silent_crc(data[at + 2 : at + 4] + data[at + 6 : at + 6 + side]) != int.from_bytes(data[at + 4 : at + 6])
-                body = at + 6 + side
-        elif layer == 3:
-            body = at + 4 + side_bytes(version, channels)
+            out["checked"] += 1
+            out["crc_errors"] += not checksum_holds(data, at, found)
+            body += 2
+        if layer == 3:
+            body += side_bytes(version, channels)
         if out["frames"] % every == 0:
             out["seek"].append(at)
         parts.append(data[body : at + size])
