@@ -4,10 +4,13 @@ A tokenizer splits markup from text; a tree builder puts in what the markup impl
 cells, table sections' ends, void elements) and closes what is open when an outer end tag comes; visibility rules leave out
 what a browser wouldn't show; a renderer lays the rest out: blocks on lines of their own with blank lines around paragraphs,
 headings and lists, list items with bullets or numbers and an indent for each level, preformatted text as it stands, and
-table cells padded to their columns, with cells that span several. All visible text is emitted, whatever its density.
+table cells padded to their columns, with cells that span several. All visible text is emitted, whatever its density; formulas
+and the texts of drawings too. The padding of a page's tables is at most ``PADDING`` characters for each one of its HTML; a
+table beyond that has its cells unpadded, those of several lines below one another.
 
 Hidden: the head, scripts, styles, templates, fallback content of media and frames, ``hidden`` attributes, ``display:none`` and
-``visibility:hidden`` in style attributes, closed ``details`` but for the summary, closed dialogs, hidden inputs, comments.
+``visibility:hidden`` in style attributes, closed ``details`` but for the summary, closed dialogs, hidden inputs, comments;
+of drawings what isn't in a ``text`` or ``foreignObject``, of formulas their annotations.
 
 Defined cases: null and empty pages give an empty text and title; text without markup is one block; broken markup never fails,
 an unclosed comment or tag runs to the end; nesting beyond ``DEPTH`` becomes siblings there, as in browsers; repeated rows are
@@ -23,11 +26,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 DEPTH = 200
+PADDING = 2
 #: Element classes of the HTML standard. Fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-HIDDEN = frozenset("head script style template title noscript iframe object audio video canvas datalist noembed noframes map svg math param rp".split())
+HIDDEN = frozenset("head script style template title noscript iframe object audio video canvas datalist noembed noframes map param rp annotation annotation-xml desc metadata defs symbol clippath mask".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol optgroup option p pre section summary table caption ul xmp".split())
 SPACED = frozenset("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 hr listing menu ol p pre table ul dir xmp".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul dd dt li listing summary".split())
@@ -165,9 +171,10 @@ def visible(node: Node) -> bool:
 
 
 class Page:
-    """Lines of one block of text as it is laid out."""
+    """Lines of one block of text as it is laid out. ``room`` is what its page's tables may still pad, shared by all its blocks."""
 
-    def __init__(self):
+    def __init__(self, room: list[int]):
+        self.room = room
         self.lines: list[str] = []
         self.line: list[str] = []
         self.space = self.gap = False
@@ -234,6 +241,12 @@ def layout(node: Node, page: Page, preserve: bool = False, order: list | None =
             else:
                 page.gap = bool(page.lines)
             continue
+        if name == "svg":
+            for part in drawn(child):
+                page.word(" ")
+                layout(part, page, preserve, order)
+                page.word(" ")
+            continue
         if name in ("table",):
             page.end_line(True)
             table(child, page)
@@ -284,17 +297,42 @@ def layout(node: Node, page: Page, preserve: bool = False, order: list | None =
         page.end_line(spaced)
 
 
-def _rows(node: Node) -> list[Node]:
+def drawn(node: Node) -> list[Node]:
+    """The elements of a drawing that show text."""
     out = []
     for c in node.children:
         if isinstance(c, Node) and visible(c):
-            if c.name == "tr":
-                out.append(c)
-            elif c.name in ("thead", "tbody", "tfoot"):
-                out += _rows(c)
+            out += [c] if c.name in ("text", "foreignobject") else drawn(c)
     return out
 
 
+SECTIONS = ("thead", "tbody", "tfoot")
+
+
+def parts(node: Node) -> tuple[list[Node], list]:
+    """(rows, what else is visible) of a table, through its sections and any element between them that holds rows."""
+    rows: list[Node] = []
+    rest: list = []
+    for c in node.children:
+        if isinstance(c, str):
+            rest += [c] if c.strip() else []
+        elif not visible(c) or c.name in ("colgroup", "col"):
+            continue
+        elif c.name == "tr":
+            rows.append(c)
+        elif c.name in SECTIONS or (c.name not in ("table", "caption") and holds_rows(c)):
+            inner, stray = parts(c)
+            rows += inner
+            rest += stray
+        else:
+            rest.append(c)
+    return rows, rest
+
+
+def holds_rows(node: Node) -> bool:
+    return any(isinstance(c, Node) and (c.name == "tr" or c.name in SECTIONS or c.name not in ("table", "td", "th") and holds_rows(c)) for c in node.children)
+
+
 def _span(node: Node, name: str) -> int:
     value = node.attributes.get(name, "")
     return max(1, min(1000, int(value))) if value.isascii() and value.isdigit() and len(value) < 7 else 1
@@ -302,15 +340,15 @@ def _span(node: Node, name: str) -> int:
 
 def table(node: Node, page: Page) -> None:
     """Rows of cells padded to their columns; a cell of several lines makes a row of several lines."""
-    for c in node.children:  # captions and what stands between rows by mistake come first
-        if isinstance(c, str) and c.strip() or isinstance(c, Node) and visible(c) and c.name not in ("tr", "thead", "tbody", "tfoot", "colgroup", "col"):
-            stray = Node("div", {})
-            stray.children = [c]
-            layout(stray, page)
-            page.end_line()
+    rows, rest = parts(node)
+    for c in rest:  # captions and what stands between rows by mistake come first
+        stray = Node("div", {})
+        stray.children = [c]
+        layout(stray, page)
+        page.end_line()
     grid: list[list[tuple[int, int, list[str]]]] = []  # (column, columns, lines)
     busy: dict[int, int] = {}
-    for row in _rows(node):
+    for row in rows:
         cells, column = [], 0
         down = {k: v - 1 for k, v in busy.items() if v > 1}
         for c in row.children:
@@ -324,7 +362,7 @@ def table(node: Node, page: Page) -> None:
                 continue
             while busy.get(column, 0) > 0:
                 column += 1
-            own = Page()
+            own = Page(page.room)
             layout(c, own)
             lines = own.text().split("\n")
             page.items, page.rows = page.items + own.items, page.rows + own.rows
@@ -351,6 +389,22 @@ def table(node: Node, page: Page) -> None:
     for k in range(max(width, default=-1) + 1):
         start[k] = at
         at += width.get(k, 0) + 3 if width.get(k, 0) else 0
+    padding = 0
+    for cells in grid:
+        end = max(start.get(column, at) for column, _, lines in cells if any(lines))
+        deep = max(len(lines) for _, _, lines in cells)
+        padding += max(0, end * deep - sum(map(len, (x for _, _, lines in cells for x in lines))))
+    if padding > page.room[0]:
+        for cells in grid:
+            told = [lines for _, _, lines in cells if any(lines)]
+            if all(len(lines) == 1 for lines in told):
+                page.whole(" | ".join(lines[0] for lines in told))
+            else:
+                for lines in told:
+                    for line in lines:
+                        page.whole(line)
+        return
+    page.room[0] -= padding
     for cells in grid:
         for n in range(max(len(lines) for _, _, lines in cells)):
             line = ""
@@ -367,7 +421,7 @@ _NAMES = ("title", "text", "items", "rows")
 
 def render(html: str | None) -> tuple[str, str, int, int]:
     """(title, visible text, list items, table rows)."""
-    root, page = build(html or ""), Page()
+    root, page = build(html or ""), Page([PADDING * len(html or "") + 4096])
     layout(root, page)
     title = ""
     open_nodes = [root]
@@ -376,7 +430,7 @@ def render(html: str | None) -> tuple[str, str, int, int]:
         if node.name == "title":
             title = _BLANK.sub(" ", "".join(c for c in node.children if isinstance(c, str))).strip()
             break
-        open_nodes += [c for c in reversed(node.children) if isinstance(c, Node)]
+        open_nodes += [c for c in reversed(node.children) if isinstance(c, Node) and c.name != "svg"]
     return title, page.text(), page.items, page.rows
 
 
@@ -387,8 +441,9 @@ def extract(df: DataFrame, html: str = "html") -> DataFrame:
     def rendered(pages: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([render(p) for p in pages], columns=_NAMES)
 
-    made = df.withColumn("_page", rendered(F.col(html)))
-    return made.withColumns({"title": F.col("_page.title"), "text": F.col("_page.text"), "n_items": F.col("_page.items"), "n_rows": F.col("_page.rows")}).drop("_page")
+    own = unused("page", df)
+    made = df.withColumn(own, rendered(F.col(html)))
+    return made.withColumns({"title": F.col(f"{own}.title"), "text": F.col(f"{own}.text"), "n_items": F.col(f"{own}.items"), "n_rows": F.col(f"{own}.rows")}).drop(own)
 
 
 def digest(pages: DataFrame) -> DataFrame:

@@ -5,7 +5,10 @@ from html.parser import HTMLParser
 
 import pytest
 
-from docketloom.llm.htmltext import HIDDEN, digest, extract, render
+from docketloom.llm.htmltext import digest, extract, render
+
+#: What browsers don't show of the pages read here.
+UNSEEN = {"head", "script", "style", "template", "title", "noscript", "iframe", "object", "audio", "video", "canvas", "datalist"}
 
 
 @pytest.mark.parametrize(
@@ -34,6 +37,10 @@ from docketloom.llm.htmltext import HIDDEN, digest, extract, render
         ("<dl><dt>t<dd>d<dt>u<dd>e</dl>", "t\n  d\nu\n  e"),
         ("<p>a</p></div></p>b", "a\n\nb"),
         ("<select><option>x<option>y</select>", "x\ny"),
+        ("a <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math> b <svg><title>t</title><path/><text>chart</text><g><text>la<tspan>bel</tspan></text></g></svg>c", "a x=2 b chart label c"),
+        ("<svg><title>no</title></svg><table><tbody><form><tr><td>x</td></tr></form></tbody></table>", "x"),
+        ("<table><tbody>loose<div>in a section</div><tr><td>x</td></tr><caption>cap</caption></table>", "loose\nin a section\ncap\nx"),
+        ("<table><div><tbody><tr><td>a<td>b</tr></tbody></div><tr><td>c<td>d</table>", "a | b\nc | d"),
         ("word<wbr>s <i>in</i><b>line</b> <u>x</u>", "words inline x"),
     ],
 )
@@ -48,16 +55,29 @@ def test_deep_and_long_pages():
     assert render("<!DOCTYPE html><html><head><title> A \n B </title><body>x")[0] == "A B"
 
 
+def test_wide_tables_lose_no_text_and_stay_small():
+    page = "<table><tr><td>" + "w" * 200_000 + "<td>v</tr>" + "<tr><td>a<td>b</tr>" * 500 + "</table>"
+    text = render(page)[1]
+    assert len(text) < 4 * len(page) and text.count("a | b") == 500 and "w" * 200_000 + " | v" in text
+    nested = page
+    for _ in range(4):
+        nested = "<table><tr><td>" + nested + "<td>z</tr>" + "<tr><td>c<td>d</tr>" * 300 + "</table>"
+    text = render(nested)[1]
+    assert len(text) < 4 * len(nested) and text.count("w") == 200_000 and text.count("z") == 4
+    drawn = render("<table><tr><td>one<br>two<td>x" + "y" * 9000 + "<td>z</tr>" + "<tr><td>a<td>b<td>c</tr>" * 2000 + "</table>")[1]
+    assert drawn.startswith("one\ntwo\nxyyy") and drawn.endswith("a | b | c")
+
+
 class Plain(HTMLParser):
     def __init__(self):
         super().__init__()
         self.words, self.hidden = [], 0
 
     def handle_starttag(self, tag, attrs):
-        self.hidden += tag in HIDDEN
+        self.hidden += tag in UNSEEN
 
     def handle_endtag(self, tag):
-        self.hidden -= tag in HIDDEN
+        self.hidden -= tag in UNSEEN
 
     def handle_data(self, data):
         if not self.hidden:
@@ -82,3 +102,4 @@ def test_frame(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     assert sorted((r.page_id or 0, r.text, r.title) for r in extract(df).collect()) == [(0, "", ""), (1, "a", ""), (1, "a", ""), (2, "", "")]
     assert digest(df.limit(0)).count() == 0
+    assert [r._page for r in extract(df.withColumnRenamed("url", "_page").filter("page_id = 2")).collect()] == ["v"]
