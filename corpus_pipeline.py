@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketloom.llm import decontam, langid, neardup, packing, secrets
-from docketloom.llm.common import table
+from docketloom.llm.common import table, unused
 from docketloom.llm.queries import tokenizer_path
 
 #: Least similarity of word shingles in stage 2; op6 has a threshold of its own.
@@ -24,14 +24,16 @@ PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = docs.withColumn("_language", langid.prediction(langid.fit(docs), F.col("text"), spark))
-    kept = found.filter(F.col("_language.lang_pred") != langid.UNKNOWN)
-    return kept.withColumn("lang", F.coalesce("lang", "_language.lang_pred")).drop("_language")
+    own = unused("language", docs)
+    found = docs.withColumn(own, langid.prediction(langid.fit(docs), F.col("text"), spark))
+    kept = found.filter(F.col(f"{own}.lang_pred") != langid.UNKNOWN)
+    return kept.withColumn("lang", F.coalesce("lang", f"{own}.lang_pred")).drop(own)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = neardup.near_duplicates(docs, percent=PERCENT).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, docs.doc_id == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"]).union(docs.filter("doc_id is null"))
+    own = unused("kept", docs)
+    kept = neardup.near_duplicates(docs, percent=PERCENT).filter("kept and doc_id is not null").select(F.col("doc_id").alias(own))
+    return docs.join(kept, docs.doc_id == F.col(own), "left_semi").dropDuplicates(["doc_id"]).union(docs.filter("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
