@@ -15,7 +15,7 @@ from ..operators import rules
 from ..sources.tables import link_rows, table_cells
 from ..udf import arrow_udf
 from .dataset import ENDS, PLACE, dataset, first_clause, key, or_else, without_place_word
-from .maryland import verified
+from .maryland import VERIFIED
 
 HREF = r"(?i)\bhref\s*=\s*[\"']([^\"']+)[\"']"
 DOCUMENTS = "url string, text string, method string"
@@ -164,7 +164,7 @@ def maryland(frames, as_of) -> DataFrame:
     r = r.withColumns({"case_number": case, "media_id": F.regexp_extract("pdf_url", r"/media/(\d+)", 1), "_opens": opens})
     inner = F.when(F.col("_opens"), rest).when((F.col("case_number") != "") & F.contains("document_title", F.lit(" - ")), F.regexp_replace("document_title", r"^.*? - ", "")).otherwise(F.col("document_title"))
     r = r.withColumn("_p", maryland_parties(inner))
-    known = r.sparkSession.createDataFrame(verified(), "media_id string, employer_name string, union_name string")
+    known = r.sparkSession.createDataFrame(VERIFIED, "media_id string, employer_name string, union_name string")
     own = frames["overrides"].select("media_id", "employer_name", "union_name")
     o = known.join(own.select(F.col("media_id").alias("_own")), F.col("media_id") == F.col("_own"), "left_anti").union(own)
     o = o.select(F.col("media_id").alias("_id"), F.col("employer_name").alias("_e"), F.col("union_name").alias("_u"))
