@@ -43,6 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--harvest", help="harvest file (JSON lines or TSV) of datasets that read one")
     parser.add_argument("--out", default="out", help="output folder (default: out)")
     parser.add_argument("--as-of", help="day that plausible years are counted from (default: today)")
+    parser.add_argument("--staging", help="folder for the parsed rows, which guards, order and sink read (default: a sibling of the output)")
+    parser.add_argument("--parts", action="store_true", help="write a folder of part files in order, not a single one")
     parser.add_argument("--list", action="store_true", help="list datasets and their inputs")
     args = parser.parse_args(argv)
     if args.list or not args.slug:
@@ -59,9 +61,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"docketloom {spec.slug}").getOrCreate()
     ship(spark)
     now = datetime.now(UTC).replace(microsecond=0)
-    table = spec.table(load(spark, spec, args.landing, args.harvest), now.isoformat(), args.as_of or now.date().isoformat())
+    table = spec.table(load(spark, spec, args.landing, args.harvest), now.isoformat(), args.as_of or now.date().isoformat(), args.staging or f"{args.out}/_staging")
     target = f"{args.out}/{spec.csv_name}"
-    print(f"Wrote {write_csv(table, target, spec.columns)} rows to {target}")
+    print(f"Wrote {write_csv(table, target, spec.columns, single=not args.parts)} rows to {target}")
     return 0
 
 

@@ -46,9 +46,14 @@ class Dataset:
         fixed = {"source_agency_code": self.agency, **self.constants, "scraped_at": scraped_at}
         return made.withColumns({k: F.lit(v) for k, v in fixed.items()})
 
-    def table(self, frames: Mapping[str, DataFrame], scraped_at: str, as_of: str) -> DataFrame:
-        """The dataset: checked, in order, its columns alone."""
+    def table(self, frames: Mapping[str, DataFrame], scraped_at: str, as_of: str, staging: str | None = None) -> DataFrame:
+        """The dataset: checked, in order, its columns alone. With ``staging``, a folder, the rows are written there first, so that
+        guards, order and sink read them and nothing is parsed twice."""
         made = self.rows(frames, scraped_at, as_of)
+        if staging:
+            place = f"{staging.rstrip('/')}/{self.slug}"
+            made.write.mode("overwrite").parquet(place)
+            made = made.sparkSession.read.parquet(place)
         quality.require(made, self.slug, least=self.least, unique="row_key" if self.unique else None)
         order = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in self.order]
         return to_wide(made.orderBy(*order), self.columns)

@@ -42,10 +42,10 @@ def page_events(spark, sf_dir):
     return event_rows(pages).groupBy("l_orderkey", "kind").agg(F.count("*").alias("n"))
 
 
-@query("SELECT o_orderkey, 'A-' || lpad(CAST(o_orderkey % 100000 AS VARCHAR), 5, '0') AS case_number, 'Carrier ' || o_custkey AS employer_name, 'UNION' || l_linenumber AS union_name, 'mediation_new_docket' AS section FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 10 = 3")
+@query("SELECT o_orderkey, 'A-' || lpad(CAST(o_orderkey % 100000 AS VARCHAR), 5, '0') AS case_number, 'Carrier ' || o_custkey AS employer_name, 'UNION' || l_linenumber AS union_name, 'mediation_new_docket' AS section FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) JOIN orders ON l_orderkey = o_orderkey")
 def weekly_report_rows(spark, sf_dir):
-    """Labelled report tables: sections, drifting headers, continuation rows (reports of every tenth order)."""
-    o, li = read(spark, sf_dir, "orders").filter("o_orderkey % 10 = 3"), read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    """Labelled report tables: sections, drifting headers, continuation rows; a report for each order."""
+    o, li = read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
     lines = o.join(li, o.o_orderkey == li.l_orderkey)
     first = F.col("l_linenumber") == F.min("l_linenumber").over(carry.Window.partitionBy("o_orderkey"))
     case, carrier = F.concat(F.lit("A-"), F.lpad((F.col("o_orderkey") % 100000).cast("string"), 5, "0")), F.concat(F.lit("Carrier "), F.col("o_custkey").cast("string"))

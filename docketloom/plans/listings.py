@@ -25,8 +25,7 @@ def cell_rows(pages: DataFrame, least: int, html: str = "html") -> DataFrame:
     """A row for each table row of at least ``least`` cells, with the cells' markup in ``raw`` and their text in ``cell``."""
     rest = [c for c in pages.columns if c != html]
     rows = pages.select(*rest, F.posexplode(table_cells(html)).alias("pos", "raw")).filter(F.size("raw") >= least)
-    parts = rows.select("*", *(strip_html(F.get("raw", F.lit(k))).alias(f"_c{k}") for k in range(8)))
-    return parts.select(*rest, "pos", "raw", F.transform(F.array(*(blank(F.col(f"_c{k}")) for k in range(8))), lambda x: x).alias("cell"))
+    return rows.select(*rest, "pos", "raw", F.transform("raw", lambda c: blank(strip_html(c))).alias("cell"))
 
 
 def cell(k: int) -> Column:

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..operators.quality import changed_rows
 from ..schema import to_wide
 
 
+def written(df: DataFrame, save: Callable[[DataFrame], None], single: bool) -> int:
+    """Save ``df`` and give its number of rows, counted as they are written."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    save(counted.coalesce(1) if single else counted)
+    return seen.get["n"]
+
+
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], single: bool = True) -> int:
     """Header, fixed columns, minimal quoting, CRLF line ends (inside quoted values too); overwrites, gives the number of rows."""
-    wide = to_wide(df, columns)
-    writer = (wide.coalesce(1) if single else wide).write.mode("overwrite")
-    writer.option("header", True).option("escape", '"').option("emptyValue", "").option("lineSep", "\r\n").csv(path)
-    return read_csv(df.sparkSession, path).count()
+    return written(to_wide(df, columns), lambda d: d.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").option("lineSep", "\r\n").csv(path), single)
 
 
 def read_csv(spark, path: str) -> DataFrame:
@@ -25,9 +31,7 @@ def read_csv(spark, path: str) -> DataFrame:
 
 def write_jsonl(df: DataFrame, path: str, columns: Sequence[str] | None = None, single: bool = True) -> int:
     """A JSON object on each line; every column stands in it, empty or not."""
-    wide = to_wide(df, columns or df.columns)
-    (wide.coalesce(1) if single else wide).write.mode("overwrite").json(path)
-    return df.sparkSession.read.json(path).count()
+    return written(to_wide(df, columns or df.columns), lambda d: d.write.mode("overwrite").json(path), single)
 
 
 def write_diff(compared: DataFrame, path: str, columns: list[str]) -> int:

@@ -42,10 +42,8 @@ def table_rows(pages: DataFrame, html: str = "html", least: int = 1) -> DataFram
     """A row for each table row of at least ``least`` cells: pos, cells (text) and first_href, the first link in any cell."""
     rest = [c for c in pages.columns if c != html]
     rows = pages.select(*rest, F.posexplode(table_cells(html)).alias("pos", "raw")).filter(F.size("raw") >= least)
-    exploded = rows.select(*rest, "pos", "raw", F.posexplode("raw").alias("k", "cell")).withColumn("cell", strip_html("cell"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("k", "cell"))), lambda c: c["cell"])
-    keyed = exploded.groupBy(*rest, "pos").agg(ordered.alias("cells"), F.first("raw").alias("raw"))
-    return keyed.withColumn("first_href", F.regexp_extract(F.array_join("raw", " "), r"(?i)\bhref\s*=\s*[\"']([^\"']*)[\"']", 1)).drop("raw")
+    href = F.regexp_extract(F.array_join("raw", " "), r"(?i)\bhref\s*=\s*[\"']([^\"']*)[\"']", 1)
+    return rows.select(*rest, "pos", F.transform("raw", lambda c: strip_html(c)).alias("cells"), href.alias("first_href"))
 
 
 def title(html: Column | str, decode=unescape_html) -> Column:
