@@ -61,13 +61,28 @@ def unescape_common(c: Column | str) -> Column:
     return out
 
 
+def _without_tags(c: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(c, r"(?i)<br\s*/?>", "\n"), r"<[^>]+>", " ")
+
+
+def _settled(c: Column) -> Column:
+    return strip(F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"(?U)\n\s+", "\n"))
+
+
 def strip_html(c: Column | str, decode=unescape_html) -> Column:
     """Visible text of a fragment: ``<br>`` as line feed, tags as space, entities decoded, spaces collapsed, blank starts of
     lines gone. The content of scripts and styles stays (drop it with :func:`without_scripts` first where that matters)."""
-    out = F.regexp_replace(col(c), r"(?i)<br\s*/?>", "\n")
-    out = decode(F.regexp_replace(out, r"<[^>]+>", " "))
-    out = F.regexp_replace(F.regexp_replace(out, r"[ \t]+", " "), r"(?U)\n\s+", "\n")
-    return strip(out)
+    return _settled(decode(_without_tags(col(c))))
+
+
+@arrow_udf("array<string>")
+def _unescape_each(cells: pd.Series) -> pd.Series:
+    return cells.map(lambda row: None if row is None else [t if t is None or "&" not in t else _unescape(t) for t in row])
+
+
+def strip_html_each(cells: Column | str) -> Column:
+    """:func:`strip_html` of every element of an array."""
+    return F.transform(_unescape_each(F.transform(col(cells), _without_tags)), _settled)
 
 
 def without_scripts(c: Column | str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import captions, dates, roles
 from ..functions.documents import dossier_status, zip_members
-from ..functions.text import absolute_url, blank, capped_at_word, clean_party, file_name, query_value, spans, squash, strip_html, title_case
+from ..functions.text import absolute_url, blank, capped_at_word, clean_party, file_name, query_value, spans, squash, strip_html, strip_html_each, title_case
 from ..operators import rules
 from ..sources.tables import link_rows, table_cells
 from ..udf import arrow_udf
@@ -25,7 +25,7 @@ def cell_rows(pages: DataFrame, least: int, html: str = "html") -> DataFrame:
     """A row for each table row of at least ``least`` cells, with the cells' markup in ``raw`` and their text in ``cell``."""
     rest = [c for c in pages.columns if c != html]
     rows = pages.select(*rest, F.posexplode(table_cells(html)).alias("pos", "raw")).filter(F.size("raw") >= least)
-    return rows.select(*rest, "pos", "raw", F.transform("raw", lambda c: blank(strip_html(c))).alias("cell"))
+    return rows.select(*rest, "pos", "raw", F.transform(strip_html_each("raw"), blank).alias("cell"))
 
 
 def cell(k: int) -> Column:

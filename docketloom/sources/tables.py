@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import absolute_url, blank, col, squash, strip_html, unescape_html
+from ..functions.text import absolute_url, blank, col, squash, strip_html, strip_html_each, unescape_html
 
 ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
@@ -43,7 +43,7 @@ def table_rows(pages: DataFrame, html: str = "html", least: int = 1) -> DataFram
     rest = [c for c in pages.columns if c != html]
     rows = pages.select(*rest, F.posexplode(table_cells(html)).alias("pos", "raw")).filter(F.size("raw") >= least)
     href = F.regexp_extract(F.array_join("raw", " "), r"(?i)\bhref\s*=\s*[\"']([^\"']*)[\"']", 1)
-    return rows.select(*rest, "pos", F.transform("raw", lambda c: strip_html(c)).alias("cells"), href.alias("first_href"))
+    return rows.select(*rest, "pos", strip_html_each("raw").alias("cells"), href.alias("first_href"))
 
 
 def title(html: Column | str, decode=unescape_html) -> Column:
