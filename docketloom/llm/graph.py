@@ -14,14 +14,16 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     Alternating star contraction: in a large star every larger neighbour of a node is hung on the smallest neighbour, in a
     small star every smaller one is. The edges end as stars, after a number of rounds that grows with the logarithm of the
     longest path. Each round's edges are written to the checkpoint folder. Neighbourhoods are only ever minimised (combined
-    before the shuffle) and joined, never collected, so a hub of any degree is dealt to many tasks. Loops and repeated
-    edges do no harm; no edges give no rows.
+    before the shuffle) and joined, never collected. The minima over larger neighbours' stars, where hubs stand, are written
+    before they are joined, so that both sides of the join are plain shuffles and adaptive execution deals a hub's edges to
+    many tasks; in small stars a node has the few roots that its neighbours still differ in. Loops and repeated edges do no
+    harm; no edges give no rows.
     """
     held = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct())
     seen = None
     for _ in range(rounds):
         both = held.union(held.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        least = cut(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(lowest, "a").select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")).select("e.*")

@@ -6,11 +6,14 @@ filled from others of the same document by a fixed sequence of random places (op
 are banded as sharply as long ones. Registers are banded; documents that share a band are candidates.
 
 What follows is exact on the candidates. Equal sets are one class and only its smallest id goes on. Each bucket hangs its
-members on its smallest one, so a bucket of n gives n rows; components of this candidate graph are then searched for true
-links inside: from each document reached, those not yet reached are compared, first by the collision-corrected estimate of
-the registers (five standard deviations below the threshold are kept), then on full sets. As linked documents leave the
-search, a group of near copies costs about one comparison a document. A candidate component of more than ``most`` shingles
-is dealt to blocks, and each pair of blocks is a task, so no task holds more than two blocks and no pair is left out.
+members on its smallest one, its hub, so a bucket of n gives n pairs; these are judged by sketches, the low byte of every
+register: a pair whose estimate lies more than five standard deviations below the threshold isn't near. A bucket in which a
+member isn't near its hub is searched by sketches from each document reached, so that no near pair in it is missed. Components
+of what is near, and not of what merely shares a bucket, are then searched for true links inside: from each document reached,
+those not yet reached are compared, first by the collision-corrected estimate of the registers, then on full sets. As linked
+documents leave the search, a group of near copies costs about one comparison a document. A bucket of more than ``members``
+documents and a component of more than ``most`` shingles are dealt to blocks, and each pair of blocks is a task, so no task
+holds more than two blocks and no pair is left out.
 
 The 384 registers are cut into bands of as many registers as still miss a pair at the threshold with a probability of at most
 ``MISS``: at 0.85 48 bands of 8, (1 - 0.85^8)^48 = 2.4e-7; at 0.8 64 bands of 6, 3.6e-9. A link is lost only where no other path
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, per_batch, slices, utf8
@@ -143,65 +146,167 @@ def estimate(one: np.ndarray, many: np.ndarray, size: int, sizes: np.ndarray) ->
     return (many == one).mean(1) - chance
 
 
+def sketch_of(filled: np.ndarray) -> np.ndarray:
+    """The low byte of every register."""
+    return (filled & 0xFF).astype(np.uint8)
+
+
+def trust(used: np.ndarray) -> np.ndarray:
+    """How many independent registers as many are worth of which ``used`` were their own and the others copies of those."""
+    used = np.maximum(used, 1)
+    copies = (REGISTERS - used) / used  # of each one, as often as chance has it
+    return REGISTERS**2 / (used * ((1 + copies) ** 2 + copies))
+
+
+def near(one: tuple, many: tuple, percent: int) -> np.ndarray:
+    """May each of ``many`` (sketches, used registers, set sizes) be linked with ``one``, by its size and sketch?"""
+    (sketch, used, size), (sketches, uses, sizes) = one, many
+    out = 100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size)
+    spread = 5 * np.sqrt(percent / 100 * (1 - percent / 100) / trust(np.minimum(uses, used)))
+    out &= (sketches == sketch).mean(-1) >= percent / 100 - spread
+    return out
+
+
+def reached(n: int, linked) -> Iterator[tuple[int, int]]:
+    """(first of its group, member) for all that ``linked(x, others)``, which gives those of ``others`` linked with x, joins."""
+    left = np.arange(n)
+    while len(left):
+        root, left = int(left[0]), left[1:]
+        front = [root]
+        while front and len(left):
+            found = linked(front.pop(), left)
+            for k in found.tolist():
+                yield root, k
+            front += found.tolist()
+            left = left[~np.isin(left, found)] if len(found) else left
+
+
+def bucket_links(ids: np.ndarray, sketches: np.ndarray, used: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """(id, id) edges that join the documents of one bucket as near pairs do."""
+
+    def linked(x: int, others: np.ndarray) -> np.ndarray:
+        return others[near((sketches[x], used[x], sizes[x]), (sketches[others], used[others], sizes[others]), percent)]
+
+    for a, b in reached(len(ids), linked):
+        yield int(ids[a]), int(ids[b])
+
+
 def links(ids: list[int], sets: list[np.ndarray], filled: np.ndarray, used: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
     """(smallest id, id) for each document that true links join to a smaller one inside this group."""
     order = np.argsort(np.array(ids), kind="stable")
+    ids, sets, filled, used = [ids[k] for k in order], [sets[k] for k in order], filled[order], used[order]
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    left = [int(k) for k in order]
-    while left:
-        root, *left = left
-        front = [root]
-        while front and left:
-            x = front.pop()
-            rest = np.array(left)
-            n = sizes[rest]
-            near = 100 * np.minimum(n, sizes[x]) >= percent * np.maximum(n, sizes[x])
-            spread = 5 * np.sqrt(percent / 100 * (1 - percent / 100) / np.maximum(1, np.minimum(used[rest], used[x])))
-            near[near] = estimate(filled[x], filled[rest[near]], sizes[x], n[near]) >= percent / 100 - spread[near]
-            if not near.any():
-                continue
-            tried = rest[near]
-            flat, n = np.concatenate([sets[k] for k in tried]), sizes[tried]
-            at = np.minimum(np.searchsorted(sets[x], flat), len(sets[x]) - 1)
-            shared = np.add.reduceat((sets[x][at] == flat).astype(np.int64), np.cumsum(n) - n)
-            linked = tried[100 * shared >= percent * (n + sizes[x] - shared)].tolist()
-            for k in linked:
-                yield ids[root], ids[k]
-            front += linked
-            gone = set(linked)
-            left = [k for k in left if k not in gone] if gone else left
-
-
-def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, most: int = 2_000_000) -> DataFrame:
+    own = trust(used)
+
+    def linked(x: int, rest: np.ndarray) -> np.ndarray:
+        n = sizes[rest]
+        close = 100 * np.minimum(n, sizes[x]) >= percent * np.maximum(n, sizes[x])
+        spread = 5 * np.sqrt(percent / 100 * (1 - percent / 100) / np.minimum(own[rest], own[x]))
+        close[close] = estimate(filled[x], filled[rest[close]], sizes[x], n[close]) >= percent / 100 - spread[close]
+        tried = rest[close]
+        if not len(tried):
+            return tried
+        flat, n = np.concatenate([sets[k] for k in tried]), sizes[tried]
+        at = np.minimum(np.searchsorted(sets[x], flat), len(sets[x]) - 1)
+        shared = np.add.reduceat((sets[x][at] == flat).astype(np.int64), np.cumsum(n) - n)
+        return tried[100 * shared >= percent * (n + sizes[x] - shared)]
+
+    for a, b in reached(len(ids), linked):
+        yield ids[a], ids[b]
+
+
+def in_blocks(members: DataFrame, group: str, node: str, size: Column, most: int) -> DataFrame:
+    """``members`` with i and j: each pair of blocks of a group, whose blocks hold about ``most`` of ``size`` each, is (group, i, j)."""
+    blocks = members.groupBy(group).agg(F.ceil(F.sum(size) / most).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64(node), F.col("blocks")).cast("int")
+    dealt = members.join(blocks, group).withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))}).filter("blocks = 1 or own <> other")
+    return dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("own", "other", "blocks")
+
+
+def candidate_links(sketched: DataFrame, percent: int, members: int) -> DataFrame:
+    """(a, b) edges that join the documents of ``sketched`` (rep, h1, h2, bands, sketch, used, n) which share a band and are near.
+    A rep with several texts has a sketch for each."""
+    rows = sketched.select("rep", F.explode("bands").alias("key"))
+    hubs = cut(rows.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub < last").select("key", "hub"))
+    shared = rows.join(hubs, "key")
+    pairs = shared.filter("rep > hub").select("rep", "hub").distinct()
+    sketch = ("sketch", "used", "n")
+    known = sketched.join(shared.select("rep").distinct(), "rep", "left_semi").groupBy("rep", "h1", "h2").agg(*(F.first(c).alias(c) for c in sketch))
+    known = cut(known.select("rep", *sketch))
+    pairs = pairs.join(known, "rep").join(known.select(F.col("rep").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in sketch)), "hub")
+
+    def stacked(batch: pa.RecordBatch, prefix: str = "") -> tuple:
+        flat, _ = utf8(batch.column(f"{prefix}sketch"))
+        return flat.reshape(batch.num_rows, -1), batch.column(f"{prefix}used").to_numpy(), batch.column(f"{prefix}n").to_numpy()
+
+    def judge(batch: pa.RecordBatch) -> dict:
+        return {"rep": batch.column("rep"), "hub": batch.column("hub"), "near": pa.array(near(stacked(batch), stacked(batch, "hub_"), percent))}
+
+    judged = cut(per_batch(pairs, judge, "rep long, hub long, near boolean", "sketch"))
+    edges = judged.filter("near").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    far = judged.filter("not near")
+    if far.isEmpty():
+        return edges
+    unsettled = shared.join(far, ["rep", "hub"], "left_semi").select("key").distinct()
+    inside = in_blocks(cut(rows.join(unsettled, "key", "left_semi").distinct()), "key", "rep", F.lit(1), members)
+    group = ["key", "i", "j"]
+    grouped = inside.join(known, "rep").repartition(*group).sortWithinPartitions(*group, "rep")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held in grouped_rows(batches, group):
+            parts = [stacked(b) for b in held]
+            ids = np.concatenate([b.column("rep").to_numpy() for b in held])
+            if len(ids) > 1:
+                found = list(bucket_links(ids, *(np.concatenate([p[k] for p in parts]) for k in range(3)), percent))
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return edges.union(grouped.mapInArrow(search, "a long, b long"))
+
+
+def grouped_rows(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[tuple[tuple, list[pa.RecordBatch]]]:
+    """(key, its batches) for each run of equal ``group`` columns."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(c).to_numpy() for c in group]
+        edge = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], 0)) + 1
+        for a, b in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows], strict=True):
+            key = tuple(int(c[a]) for c in columns)
+            if key != last and held:
+                yield last, held
+                held = []
+            last = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield last, held
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, most: int = 2_000_000, members: int = 50_000) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
     bands, _ = banding(percent)
 
     def sketch(batch: pa.RecordBatch) -> dict:
         sets = shingle_sets(*utf8(batch.column("text")), words)
-        filled, _ = registers(sets)
+        filled, used = registers(sets)
         sizes = np.fromiter(map(len, sets), np.int64, len(sets))
         keys = band_keys(filled, percent)[sizes > 0]
         ends = np.concatenate([[0], np.cumsum((sizes > 0) * bands)])
         sums = np.array([[x.sum(dtype=np.uint64), mix(x + _BASE).sum(dtype=np.uint64)] for x in sets], np.uint64).view(np.int64)
-        return {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "h1": sums[:, 0], "h2": sums[:, 1], "bands": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel()))}
+        return {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "h1": sums[:, 0], "h2": sums[:, 1], "used": used, "sketch": [r.tobytes() for r in sketch_of(filled)], "bands": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel()))}
 
-    known = cut(per_batch(docs, sketch, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"))
+    known = cut(per_batch(docs, sketch, "doc_id long, n_shingles long, h1 long, h2 long, used long, sketch binary, bands array<long>"))
     equal = ["n_shingles", "h1", "h2"]
     shown = known.filter("n_shingles > 0 and doc_id is not null")
     classes = cut(shown.groupBy(*equal).agg(F.min("doc_id").alias("rep")))
-    chosen = shown.join(classes.select(F.col("rep").alias("_rep")), F.col("doc_id") == F.col("_rep"), "left_semi").select("doc_id", "bands")
-    of_reps = cut(chosen).select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
-    hubs = cut(of_reps.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub < last").select("key", "hub"))
-    hung = of_reps.join(hubs, "key").filter("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    candidates = components(hung)
-
-    sizes = classes.groupBy("rep").agg(F.max("n_shingles").alias("n"))
-    members = cut(candidates.join(sizes, candidates.node == sizes.rep).select("node", "root", "n"))
-    blocks = members.groupBy("root").agg(F.ceil(F.sum("n") / most).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = members.join(blocks, "root").withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))}).filter("blocks = 1 or own <> other")
-    dealt = dealt.select("node", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    chosen = shown.join(classes.select(F.col("rep").alias("_rep")), F.col("doc_id") == F.col("_rep"), "left_semi")
+    sketched = cut(chosen.select(F.col("doc_id").alias("rep"), "h1", "h2", "bands", "sketch", "used", F.col("n_shingles").alias("n")))
+    candidates = components(candidate_links(sketched, percent, members))
+
+    placed_in = cut(candidates.join(classes.groupBy("rep").agg(F.max("n_shingles").alias("n")), candidates.node == F.col("rep")).select("node", "root", "n"))
+    dealt = in_blocks(placed_in, "root", "node", F.col("n"), most).select("node", "root", "i", "j")
     group = ["root", "i", "j"]
     grouped = docs.join(dealt, docs.doc_id == dealt.node).select(*group, "node", "text").repartition(*group).sortWithinPartitions(*group)
 

@@ -3,7 +3,8 @@
 import numpy as np
 
 from docketloom.llm.graph import components
-from docketloom.llm.neardup import estimate, near_duplicates, registers, shingle_sets
+from docketloom.llm import neardup
+from docketloom.llm.neardup import REGISTERS, estimate, near, near_duplicates, registers, shingle_sets, sketch_of, trust
 
 
 def brute(rows, percent=85, k=5):
@@ -53,7 +54,7 @@ def test_against_all_pairs(spark):
         docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
         want = brute(rows)
         assert got(near_duplicates(docs)) == want
-        assert got(near_duplicates(docs, most=400)) == want  # groups dealt to pairs of blocks
+        assert got(near_duplicates(docs, most=400, members=3)) == want  # buckets and groups dealt to pairs of blocks
 
 
 def test_odd_documents(spark, odd_docs):
@@ -83,3 +84,37 @@ def test_components(spark):
     found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 200: 100, 299: 299, 300: 299}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_half_a_template_makes_no_candidates(spark):
+    """Pages that share half their text share buckets, but neither chain nor meet in one group."""
+    rng = np.random.default_rng(6)
+    template = [f"t{k}" for k in rng.integers(0, 10_000, 260)]
+    rows = [(i, " ".join([*template, *(f"w{k}" for k in rng.integers(0, 50_000, 150))])) for i in range(400)]
+    rows += [(400 + i, rows[i][1] + " more") for i in range(10)]
+    seen = []
+    components = neardup.components
+    neardup.components = lambda edges: seen.append(edges.count()) or components(edges)
+    try:
+        found = got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)))
+    finally:
+        neardup.components = components
+    assert {i: root for i, (_, root) in found.items()} == {**{i: i for i in range(400)}, **{400 + i: i for i in range(10)}}
+    assert seen[0] < 200 and seen[1] == 10
+
+
+def test_near_misses_no_link():
+    rng = np.random.default_rng(7)
+    missed = 0
+    for n in (3, 20, 60, 200, 900):
+        for _ in range(60):
+            both = rng.integers(0, 1 << 63, n, np.uint64)
+            k = max(0, int(n * 0.15 / 1.85) - 1) // 1
+            sets = [np.unique(np.concatenate([both, rng.integers(0, 1 << 63, k // 2 + k % 2 * j, np.uint64)])) for j in (0, 1)]
+            shared = len(np.intersect1d(*sets))
+            if 100 * shared < 85 * (len(sets[0]) + len(sets[1]) - shared):
+                continue
+            filled, used = registers(sets)
+            sketches, sizes = sketch_of(filled), np.array([len(x) for x in sets])
+            missed += not near((sketches[0], used[0], sizes[0]), (sketches[1:], used[1:], sizes[1:]), 85)[0]
+    assert missed == 0 and trust(np.array([REGISTERS]))[0] == REGISTERS and 60 < trust(np.array([100]))[0] < 100
