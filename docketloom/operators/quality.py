@@ -17,9 +17,9 @@ def outcome_counts(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("n"))
 
 
-def counters(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
-    """One row with the number of rows for each condition."""
-    return df.agg(*(F.count_if(c).alias(name) for name, c in conditions.items()))
+def counters(df: DataFrame, conditions: dict[str, Column], *by: str) -> DataFrame:
+    """The number of rows, ``n``, and of those for each condition, in one pass: one row, or one for each group of ``by``."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"), *(F.count_if(c).alias(name) for name, c in conditions.items()))
 
 
 def require(df: DataFrame, name: str, least: int = 1, unique: str | None = None, expected: int | None = None, ratio: float | None = None, slack: int | None = None, failures: Column | None = None, most_failures: float = 0.05) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import captions, dates, documents, roles, text
-from ..operators import carry
+from ..operators import carry, quality
 from ..schema import flag
 from ..sources import tables
 from ..sources.events import event_rows
@@ -157,18 +157,16 @@ def layout_tables(spark, sf_dir):
 @query("SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (value > 50) AS BIGINT) AS large FROM events GROUP BY 1")
 def outcome_struct(spark, sf_dir):
     """Counters of outcomes for each kind in one pass, combined before the shuffle."""
-    e = read(spark, sf_dir, "events")
-    return e.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 50).alias("large"))
+    return quality.counters(read(spark, sf_dir, "events"), {"large": F.col("value") > 50}, "event_type")
 
 
-@query("SELECT n_name AS employer, CASE WHEN n_nationkey % 2 = 0 THEN 'City' ELSE '' END AS kind, CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE '' END AS city FROM nation")
+@query("""SELECT n_nationkey, t AS town, CASE n_nationkey % 3 WHEN 0 THEN t ELSE '' END AS rhode_island, t AS minnesota
+FROM (SELECT n_nationkey, 'Town' || translate(CAST(n_nationkey AS VARCHAR), '0123456789', 'abcdefghij') AS t FROM nation)""")
 def city_rules(spark, sf_dir):
-    """A city only where an employer's name states one."""
-    n = read(spark, sf_dir, "nation")
-    even = F.col("n_nationkey") % 2 == 0
-    name = F.when(even, F.concat(F.lit("City of "), F.replace(F.col("n_name"), F.lit("_"), F.lit("x")))).otherwise(F.concat("n_name", F.lit(" Housing Authority")))
-    city = F.when(even, F.col("n_name")).otherwise(listings.rhode_island_city(name))
-    return n.select(F.col("n_name").alias("employer"), F.when(even, F.lit("City")).otherwise(F.lit("")).alias("kind"), city.alias("city"))
+    """A city only where an employer's name states one, by the rules of its source."""
+    n = read(spark, sf_dir, "nation").withColumns({"town": F.concat(F.lit("Town"), F.translate(F.col("n_nationkey").cast("string"), "0123456789", "abcdefghij")), "k": F.col("n_nationkey") % 3})
+    employer = F.when(F.col("k") == 0, F.concat(F.lit("Town of "), "town")).when(F.col("k") == 1, F.concat("town", F.lit(" School Committee"))).otherwise(F.concat(F.lit("ISD 709, "), "town"))
+    return n.select("n_nationkey", "town", listings.rhode_island_city(employer).alias("rhode_island"), feeds.minnesota_city(employer).alias("minnesota"))
 
 
 @query("SELECT o_orderkey, 'FY' || strftime(o_orderdate, '%y') AS fy, '20' || strftime(o_orderdate, '%y') || '_spring' AS cycle FROM orders")
