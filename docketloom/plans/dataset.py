@@ -32,6 +32,7 @@ class Dataset:
     unique: bool = False
     least: int = 1
     first_wins: tuple[Sequence[str], Sequence[str]] | None = None
+    totals: Callable[[Mapping[str, DataFrame]], tuple] | None = None  # frames to (stated, off, *by) of quality.require_totals
 
     @property
     def csv_name(self) -> str:
@@ -55,6 +56,8 @@ class Dataset:
             made.write.mode("overwrite").parquet(place)
             made = made.sparkSession.read.parquet(place)
         quality.require(made, self.slug, least=self.least, unique="row_key" if self.unique else None)
+        if self.totals:
+            quality.require_totals(made, self.slug, *self.totals(frames))
         order = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in self.order]
         return to_wide(made.orderBy(*order), self.columns)
 

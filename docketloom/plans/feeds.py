@@ -34,6 +34,7 @@ def order_case_number(title: Column, official: Column) -> Column:
 @dataset(
     slug="or-erb-contentdm-orders", agency="OR_ERB", constants={"jurisdiction_state": "OR"}, order=["decision_date", "case_number", "contentdm_pointer"],
     inputs={"pages": "start int, payload string"}, first_wins=(["contentdm_pointer"], ["start", "pos"]),
+    totals=lambda frames: (frames["pages"].agg(F.max(F.get_json_object("payload", "$.pager.total").try_cast("int")).alias("total")), F.col("rows") < 0.95 * F.col("total")),
     columns=("row_key", "source_agency_code", "case_number", "canonical_case_type", "native_case_type", "employer_name", "union_name", "document_title", "official_case_name", "decision_date", "contentdm_pointer", "pdf_url", *PLACE, *ENDS),
 )
 def oregon(frames, as_of) -> DataFrame:

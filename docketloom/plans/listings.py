@@ -104,6 +104,7 @@ IA_SECTIONS = {"/cities": "cities", "/counties": "counties", "/k-12-schools": "k
 @dataset(
     slug="ia-eab-unit-certifications", agency="IA_EAB", constants={"canonical_case_type": "CERTIFICATION", "native_case_type": "UNIT_CERTIFICATION", "jurisdiction_state": "IA"},
     order=["employer_type", "_number"], inputs={"pages": "url string, employer_type string, html string"}, first_wins=(["media_id"], ["url", "pos"]),
+    totals=lambda frames: (frames["pages"].groupBy("employer_type").agg(F.max(stated_total("html")).alias("total")), F.abs(F.col("rows") - F.col("total")) > F.greatest(F.lit(2), F.floor(F.col("total") / 50)), "employer_type"),
     columns=("row_key", "source_agency_code", "media_id", "canonical_case_type", "native_case_type", "employer_type", "employer_name", "union_name", "bargaining_unit_name", "document_title", *PLACE, "pdf_url", *ENDS),
 )
 def iowa(frames, as_of) -> DataFrame:

@@ -128,3 +128,33 @@ def test_pennsylvania(spark):
         {"case_number": "PF-R-25-56-W", "canonical_case_type": "CERTIFICATION", "employer_name": "Penn Township", "union_name": "Teamsters Local No. 205", "party_source": "document", "order_disposition": "dismissed", "order_date": "2026-03-17"},
         {"case_number": "PERA-C-24-1-E", "employer_name": "Borough of Ambler", "union_name": "AFSCME Local 1", "party_source": "title", "canonical_case_type": "ULP"},
     )
+
+
+def test_stated_totals_guard_a_run(spark):
+    import pytest
+
+    from docketloom.operators.quality import GuardError
+    from docketloom.plans import dataset
+
+    from .helpers import AS_OF, SCRAPED
+
+    def table(slug, rows):
+        spec = dataset.get(slug)
+        return spec.table({name: spark.createDataFrame(rows, schema) for name, schema in spec.inputs.items()}, SCRAPED, AS_OF)
+
+    records = [{"pointer": str(k), "title": "UP-1-17", "subjec": "", "type": "", "date": ""} for k in range(19)]
+    for total, good in ((19, True), (20, True), (21, False), ("x", True)):
+        pages = [(0, json.dumps({"pager": {"total": total}, "records": records})), (200, "broken")]
+        if good:
+            assert table("or-erb-contentdm-orders", pages).count() == 19
+        else:
+            with pytest.raises(GuardError, match="21"):
+                table("or-erb-contentdm-orders", pages)
+    items = "".join(f'<a href="/media/{k}/download"><h2>Town {k}</h2></a>' for k in range(5))
+    for total, good in ((5, True), (7, True), (8, False)):
+        pages = [("https://i/a", "cities", items + f"Displaying 1 - 5 of {total} results"), ("https://i/b", "counties", "no total")]
+        if good:
+            assert table("ia-eab-unit-certifications", pages).count() == 5
+        else:
+            with pytest.raises(GuardError, match="cities"):
+                table("ia-eab-unit-certifications", pages)
