@@ -6,8 +6,8 @@
 4. secrets: every finding is replaced by a mark; documents stay, ``n_chars`` follows the text.
 5. packing: the pieces of the remaining documents and their places in sequences.
 
-Columns of ``documents`` pass through the first four stages; rows of one doc_id count as one document from
-stage 2 on, and rows without an id are kept, as nothing tells them apart.
+Columns of ``documents`` pass through the first four stages. From stage 2 on, a row that repeats an id and text is one document;
+of an id with several texts, each stays or goes by its own text. Rows without an id are kept, as nothing tells them apart.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketloom.llm import decontam, langid, neardup, packing, secrets
-from docketloom.llm.common import table, unused
+from docketloom.llm.common import cut, table, unused
 from docketloom.llm.queries import tokenizer_path
 
 #: Least similarity of word shingles in stage 2; op6 has a threshold of its own.
@@ -31,9 +31,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    own = unused("kept", docs)
-    kept = neardup.near_duplicates(docs, percent=PERCENT).filter("kept and doc_id is not null").select(F.col("doc_id").alias(own))
-    return docs.join(kept, docs.doc_id == F.col(own), "left_semi").dropDuplicates(["doc_id"]).union(docs.filter("doc_id is null"))
+    own, mark, node = unused("several", docs), unused("text_hash", docs), unused("node", docs)
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    texts = marked.filter("doc_id is not null").groupBy(F.col("doc_id").alias(own)).agg(F.min(mark).alias(f"{own}_"), F.max(mark).alias("last"))
+    several = cut(texts.filter(F.col(f"{own}_") < F.col("last")).drop("last"))
+    if several.isEmpty():
+        named = marked.withColumn(node, F.col("doc_id"))
+    else:  # a further text of an id is a document of its own, behind all ids
+        further = F.col(mark) != F.col(f"{own}_")
+        beyond = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 3) + F.lit(1 << 62)
+        named = marked.join(several, F.col("doc_id") == F.col(own), "left").withColumn(node, F.when(further, beyond).otherwise(F.col("doc_id"))).drop(own, f"{own}_")
+    kept = neardup.near_duplicates(named.select(F.col(node).alias("doc_id"), "text"), percent=PERCENT).filter("kept and doc_id is not null").select(F.col("doc_id").alias(own))
+    stay = named.join(kept, F.col(node) == F.col(own), "left_semi").dropDuplicates([node])
+    return stay.drop(node, mark).union(docs.filter("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +59,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secrets", hide_secrets), ("packing", pack)]
-#: SQL states neither the classifier nor the tokenizer; tests hold each stage against a brute-force version.
+#: SQL states neither the classifier nor the tokenizer. The tests hold language, near duplicates, decontamination and packing against
+#: plain versions (letters, all pairs, edit distance, the tokenizer itself), secrets against op1's findings, which its own tests check.
 ORACLE_SQL = None
 
 

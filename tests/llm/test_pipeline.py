@@ -75,3 +75,12 @@ def test_near_duplicates_links_from_a_similarity_of_80(spark):
     for percent in (80, 85):
         bands, size = banding(percent)
         assert bands * size <= REGISTERS and (1 - (percent / 100) ** size) ** bands <= 1e-6
+
+
+def test_an_id_with_several_texts(spark):
+    text = lambda n: " ".join(f"{n}w{k}" for k in range(40))
+    rows = [(1, text(1), "a"), (2, text(1), "b"), (2, text(2), "c"), (2, text(2), "c"), (3, text(3), "d"), (3, text(4), "e"), (None, text(1), "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _kept string")
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text, r["_kept"]) for r in got.collect()) == sorted([(1, text(1), "a"), (2, text(2), "c"), (3, text(3), "d"), (3, text(4), "e"), (0, text(1), "f")])
