@@ -228,7 +228,7 @@ def candidate_links(sketched: DataFrame, percent: int, members: int) -> DataFram
     A rep with several texts has a sketch for each."""
     rows = sketched.select("rep", F.explode("bands").alias("key"))
     hubs = cut(rows.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub < last").select("key", "hub"))
-    shared = rows.join(hubs, "key")
+    shared = cut(rows.join(hubs, "key"))
     pairs = shared.filter("rep > hub").select("rep", "hub").distinct()
     sketch = ("sketch", "used", "n")
     known = sketched.join(shared.select("rep").distinct(), "rep", "left_semi").groupBy("rep", "h1", "h2").agg(*(F.first(c).alias(c) for c in sketch))
