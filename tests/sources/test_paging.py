@@ -84,3 +84,19 @@ def test_pages_and_tables_of_addresses(spark):
     again = paging.tried_again(landed, lambda url: ("ok", b"now"), delay=0).collect()
     assert sorted((r.url, r.status) for r in again) == [("https://a/1", "ok"), ("https://a/bad", "ok"), ("https://b/gone", "HTTP 404"), ("no address", "ok")]
     assert paging.fetch_table(urls.limit(0), fetcher).count() == 0 and paging.pages(spark, [], fetcher).count() == 0
+
+
+def test_harvest_lines_are_numbered(spark, tmp_path):
+    import pytest
+
+    from docketloom.sources import landing
+
+    path = tmp_path / "h.jsonl"
+    path.write_text('{"id": "a", "line": 9}\n\n{"id": "b", "more": 1}\n{}\n')
+    got = landing.read_harvest_jsonl(spark, str(path), "id string, line int")
+    assert got.columns == ["id", "line"] and sorted((r.line, r.id) for r in got.collect()) == [(1, "a"), (3, "b"), (4, None)]
+    path.write_text('{"id": "a"}\n\nbroken\n{"id": \n')
+    with pytest.raises(ValueError, match="line 3"):
+        landing.read_harvest_jsonl(spark, str(path), "id string")
+    path.write_text("")
+    assert landing.read_harvest_jsonl(spark, str(path), "id string").count() == 0
