@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, htmltext, langid, mpeg, neardup, packing, secrets, tokenfile, toxicity
+from . import chat, decontam, htmltext, langid, linededup, mpeg, neardup, packing, secrets, tokenfile, toxicity
 from .common import table
 
 
@@ -57,6 +57,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
+    "op11_line_dedup": op11_line_dedup,
 }
 
 _OP4 = r"""
@@ -98,4 +103,14 @@ SELECT documents.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, compone
 FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id JOIN c ON c.x = documents.doc_id
 """
 
-ORACLES: dict[str, str] = {"op4_chat_format": _OP4, "op6_near_duplicates": _OP6}
+_OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM d),
+k AS (SELECT r, doc_id, line, place, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (f.key IS NOT NULL) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (f.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN f ON f.key = k.key GROUP BY r, doc_id
+"""
+
+ORACLES: dict[str, str] = {"op11_line_dedup": _OP11, "op4_chat_format": _OP4, "op6_near_duplicates": _OP6}
