@@ -72,31 +72,49 @@ def knapsack(value: np.ndarray, size: np.ndarray, capacity: int) -> tuple[float,
     return float(best[capacity]), counts
 
 
+def inverted(basis: np.ndarray) -> np.ndarray:
+    """The inverse by Gauss-Jordan elimination with row pivots."""
+    m = len(basis)
+    work = np.hstack([basis, np.eye(m)])
+    for k in range(m):
+        p = k + int(np.abs(work[k:, k]).argmax())
+        if p != k:
+            work[[k, p]] = work[[p, k]]
+        work[k] /= work[k, k]
+        others = work[:, k].copy()
+        others[k] = 0
+        work -= np.outer(others, work[k])
+    return work[:, m:]
+
+
 def solve(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 10_000, close: float = 1e-4) -> list[tuple[np.ndarray, int]]:
     """Patterns (copies of each size in a bin) and the number of bins of each, which together take exactly ``demand``.
 
     ``size`` ascends. The first columns are single sizes and the patterns of a greedy filling; the knapsack prices new ones once
     none of those improves. Column generation stops when no pattern is worth more than 1 + ``close`` (the bins are then within
-    that factor of the linear program's least number), or after ``rounds`` (the bins are still valid, only more of them)."""
+    that factor of the linear program's least number), or after ``rounds`` (the bins are still valid, only more of them), which
+    bounds the driver's time: some 5 ms each. All algebra is plain numpy loops: on a driver with a session, threaded LAPACK was
+    seen to wait for ever."""
     m = len(size)
     if not m:
         return []
     basis = np.diag(capacity // size).astype(float)
     inverse = np.diag(1.0 / np.diag(basis))
-    amount = inverse @ demand
+    times = lambda a, b: np.einsum("ij,j->i", a, b)
+    amount = times(inverse, demand)
     pool = np.array([p for p, _ in fill_rest(size, demand.astype(np.int64), capacity)], float).reshape(-1, m)
     for k in range(rounds):
         if k % 200 == 199:  # against rounding errors
-            inverse = np.linalg.inv(basis)
-            amount = np.maximum(0, inverse @ demand)
+            inverse = inverted(basis)
+            amount = np.maximum(0, times(inverse, demand))
         prices = inverse.sum(0)
-        worth = pool @ prices
+        worth = times(pool, prices)
         gain, pattern = float(worth.max()), pool[int(worth.argmax())]
         if gain <= 1 + close:
             gain, pattern = knapsack(prices, size, capacity)
         if gain <= 1 + close:
             break
-        way = inverse @ pattern
+        way = times(inverse, pattern)
         ratio = np.where(way > 1e-9, amount / np.where(way > 1e-9, way, 1), np.inf)
         out = int(ratio.argmin())
         amount = np.maximum(0, amount - ratio[out] * way)

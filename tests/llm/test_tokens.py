@@ -1,5 +1,6 @@
 """Packing and token files against the tokenizers library itself."""
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 from zlib import crc32
 
@@ -116,6 +117,21 @@ def test_solver_takes_exactly_the_demand_and_beats_first_fit():
     assert -(-int((size * demand).sum()) // 64) <= bins <= greedy
 
 
+def test_a_large_program_ends_beside_a_session(spark):
+    """251 sizes need several refactorizations of the basis, on a driver whose session runs."""
+    assert spark.range(10).count() == 10
+    rng = np.random.default_rng(7)
+    size = np.arange(1, 257)
+    demand = np.maximum(1, 3000 * np.exp(-size / 40) + rng.integers(0, 30, len(size))).astype(np.int64)
+    with ThreadPoolExecutor(1) as pool:
+        chosen = pool.submit(packing.solve, size, demand, 256).result(timeout=240)
+    assert (sum(p * n for p, n in chosen) == demand).all() and all((p * size).sum() <= 256 for p, _ in chosen)
+    least = -(-int((size * demand).sum()) // 256)
+    assert sum(n for _, n in chosen) <= 1.01 * least + 1
+    basis = rng.integers(0, 5, (120, 120)) + np.diag(rng.integers(1, 9, 120))
+    assert np.allclose(packing.inverted(basis.astype(float)) @ basis, np.eye(120), atol=1e-6)
+
+
 def test_knapsack_against_all_combinations():
     value, size = np.array([2.0, 3.1, 4.5]), np.array([2, 3, 4])
     best = max(a * 2 + b * 3.1 + c * 4.5 for a in range(7) for b in range(5) for c in range(4) if 2 * a + 3 * b + 4 * c <= 13)
