@@ -1,8 +1,8 @@
 """Secret scan with multipart credential linking.
 
 Strong findings stand alone: an assignment to a secret-like name, an access key id, a long hexadecimal run. Weak
-candidates say nothing alone: a user or client name (identifier), a token-like run of mixed characters (opaque), a host,
-URL or socket address (endpoint). An interval join inside each document links identifiers, secrets and endpoints whose gap
+candidates say nothing alone: a user or client name (identifier), a token-like run of mixed characters or what stands behind
+a name such as ``pwd``, ``key`` or ``secret_access_key`` (opaque), a host, URL or socket address (endpoint). An interval join inside each document links identifiers, secrets and endpoints whose gap
 is at most ``reach`` characters and which stand in the same scope (a block of text without a blank line); a weak candidate
 is reported only when its complementary part co-occurs:
 
@@ -39,9 +39,12 @@ ROLE = {"assign": "secret", "access": "identifier", "hex": "secret", "identifier
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_IDENTIFIER = re.compile(r"""\b(?:user(?:_?name)?|login|account(?:_?id)?|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{2,}|(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+""", re.I | re.A)
-_OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[a-z0-9+/_=-]*[A-Z])(?=[A-Z0-9+/_=-]*[a-z])[A-Za-z0-9+/_-]{16,}={0,2}", re.A)
-_ENDPOINT = re.compile(r"(?:(?<![a-z0-9+.-])[a-z][a-z0-9+.-]{0,30}://[^\s\"'<>]+)|(?:\b\d{1,3}(?:\.\d{1,3}){3}\b(?::\d{1,5})?)|(?:\b(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+(?::\d{1,5})?)", re.I | re.A)
+_IDENTIFIER = re.compile(r"""(?<![A-Za-z0-9])(?:user(?:_?name)?|login|account(?:_?id)?|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{2,}|(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+""", re.I | re.A)
+#: A run of mixed characters: an equals sign in front of it separates, and belongs to it only as padding at its end.
+_OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?", re.A)
+#: What stands behind a name of a secret that alone says little: a password has a character that is no letter, a key a digit.
+_LABELLED = re.compile(r"""(?<![A-Za-z0-9])(?:(?:pwd|pass(?:phrase|code|wd)?)["']?\x20*[:=]\x20*["']?(?=[A-Za-z]*[^A-Za-z\s"'<>,;&])|(?:secret_?access_?key|access_?secret|private_?key|auth|key)["']?\x20*[:=]\x20*["']?(?=[^\s"'<>,;&0-9]*[0-9]))[^\s"'<>,;&]{6,}""", re.I | re.A)
+_ENDPOINT = re.compile(r"(?:(?<![a-z0-9+.-])[a-z][a-z0-9+.-]{0,30}://[^\s\"'<>]+)|(?:\b\d{1,3}(?:\.\d{1,3}){3}\b(?::\d{1,5})?)|(?:(?<![A-Za-z0-9])(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+(?::\d{1,5})?)", re.I | re.A)
 #: The login in front of a URL's host, and what a text with a password in one must hold. A user has no brackets, so a redacted login is none.
 _LOGIN = re.compile(r"[a-z][a-z0-9+.-]{0,30}://(?P<user>[^\s/?#\"'<>:@\[\]]*)(?::(?P<word>[^\s/?#\"'<>]*))?@", re.I | re.A)
 _PASSWORD = re.compile(r"://[^\s/?#\"'<>:@\[\]]*:[^\s/?#\"'<>]+@")
@@ -93,8 +96,11 @@ def _weak(text: str, strong: list[tuple[str, int, int]]) -> list[tuple[str, int,
     own = [x for x in own if not _inside(stronger, *x) and not _overlapped(split, *x)]
     found += [("identifier", *x) for x in own]
     names = _sorted(own)
+    own = [x for x in (m.span() for m in _LABELLED.finditer(text)) if not (_inside(stronger, *x) or _overlapped(split, *x) or _overlapped(names, *x))]
+    found += [("opaque", *x) for x in own]
+    taken = _sorted(own)
     own = [m.span() for m in _OPAQUE.finditer(text)]
-    return found + [("opaque", *x) for x in own if not (_inside(stronger, *x) or _overlapped(split, *x) or _overlapped(names, *x))]
+    return found + [("opaque", *x) for x in own if not (_inside(stronger, *x) or any(_overlapped(h, *x) for h in (split, names, taken)))]
 
 
 def join_near(a: np.ndarray, b: np.ndarray, reach: int) -> np.ndarray:
@@ -121,7 +127,7 @@ def find(text: str | None, reach: int = 200) -> list[tuple[str, int, int, str, i
     """All findings of one text: (kind, start, end, role, number of its link or -1), by start and then kind."""
     text = text or ""
     strong = _strong(text)
-    weak = _weak(text, strong) if strong or _OPAQUE.search(text) or _PASSWORD.search(text) else []
+    weak = _weak(text, strong) if strong or any(p.search(text) for p in (_OPAQUE, _LABELLED, _PASSWORD)) else []
     parts = sorted(strong + weak, key=lambda x: (x[1], KINDS.index(x[0])))
     if not parts:
         return []
