@@ -8,9 +8,9 @@ training; the score is the softmax of the negated losses, and a text whose secon
 first is flagged ambiguous.
 
 The model is fitted on a bounded sample: at most ``per_language`` distinct training rows for each language, those with the
-smallest hash of their id; rows of one id, language and features count once. A bound on the hash, from the approximate number
-of ids of each language, leaves about twice as many rows before they are ranked, so no language is sorted in one task. Only
-the sample's features (8 KB a row) reach the driver. All texts are scored, whole, without a shuffle.
+smallest hash of their id and text; rows of one id, language and features count once. A bound on the hash (63 bits), from the
+approximate number of rows of each language, leaves about twice as many before they are ranked, however large the language and
+however many rows share an id, so no language is sorted in one task. Only the sample's features (8 KB a row) reach the driver. All texts are scored, whole, without a shuffle.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; with one language every other text is that
 language; with no labelled row all are ``und``. Repeated rows are scored each; null ids are training rows of no fold and are
@@ -145,26 +145,31 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(folds))
 
 
+def sample_bound(n: int, per_language: int) -> int:
+    """The largest of 63 bits of a hash that about 2 * ``per_language`` + 200 of ``n`` rows lie within; all rows if ``n`` is smaller."""
+    return min((1 << 63) - 1, (1 << 63) * (2 * per_language + 200) // max(1, n))
+
+
 def fit(docs: DataFrame, per_language: int = 500, folds: int = 4, held: int = 2, near: float = 0.2) -> Model:
     """Train on rows (doc_id, text, lang) outside the held-out fold."""
     prepare(docs.sparkSession)
     rows = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), folds) != held)).select("doc_id", "text", "lang")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}  # one row a language
+    # A row's place is 63 bits of a hash of its id and text, so rows that repeat an id are sampled one by one.
+    placed = rows.withColumn("place", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1))
+    sizes = {r.lang: r.n for r in placed.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).collect()}  # one row a language
     if not sizes:
         return train(np.zeros((0, FEATURES), np.float32), [], near)
-    spread = 1 << 20
-    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(spread, spread * (2 * per_language + 200) // max(1, n)))))
-    picked = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(spread)) < share[F.col("lang")])
+    bound = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, sample_bound(n, per_language))))
+    picked = placed.filter(F.col("place") <= bound[F.col("lang")])
 
     def counted(batch: pa.RecordBatch) -> dict:
         x, known = features(batch.column("text").to_pylist())
         made = [r.astype(np.float16).tobytes() for r in x]
-        return {"doc_id": batch.column("doc_id"), "lang": batch.column("lang"), "known": pa.array(known), "same": [crc32(r) for r in made], "x": made}
+        return {"doc_id": batch.column("doc_id"), "lang": batch.column("lang"), "place": batch.column("place"), "known": pa.array(known), "same": [crc32(r) for r in made], "x": made}
 
-    sampled = per_batch(picked, counted, "doc_id long, lang string, known boolean, same long, x binary").filter("known")
-    distinct = sampled.groupBy("doc_id", "lang", "same").agg(F.first("x").alias("x"))  # combined before the shuffle
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
-    first = Window.partitionBy("lang").orderBy(place, "doc_id", "same")
+    sampled = per_batch(picked, counted, "doc_id long, lang string, place long, known boolean, same long, x binary").filter("known")
+    distinct = sampled.groupBy("doc_id", "lang", "same").agg(F.min("place").alias("place"), F.first("x").alias("x"))  # combined before the shuffle
+    first = Window.partitionBy("lang").orderBy("place", "doc_id", "same")  # some 2 * per_language + 200 rows a language
     sample = distinct.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language).collect()  # at most per_language rows a language
     sample.sort(key=lambda r: (r.doc_id, r.lang, r.same))
     x = np.stack([np.frombuffer(r.x, np.float16).astype(np.float32) for r in sample]) if sample else np.zeros((0, FEATURES), np.float32)

@@ -78,3 +78,28 @@ def test_a_repeated_id_keeps_the_sample_bounded(spark):
     assert n == 80 and all(language.count(v) == 20 for v in ALPHABETS)
     got = langid.identify(docs.withColumns({"_language": langid.F.lit(1), "_LANGUAGE_": langid.F.lit(2)}), model)
     assert {"_language", "_LANGUAGE_"} < set(got.columns) and got.filter("_language = 1 and _LANGUAGE_ = 2 and lang_pred = lang").count() > 12_000
+
+
+def test_large_languages_are_sampled_too():
+    for n in (1, 1200, 5000, 10**6, 1_258_291_201, 10**10, 10**11):
+        share = langid.sample_bound(n, 500) / (1 << 63)
+        assert abs(share * n - min(n, 1200)) < 1e-3 * n + 1e-6 if n <= 1200 else abs(share * n - 1200) < 1
+
+
+def test_decoding_against_every_codeword():
+    rng = np.random.default_rng(5)
+    rows = corpus(80)
+    x, _ = langid.features([t for _, t, _ in rows])
+    model = langid.train(x.astype(np.float32), [v for *_, v in rows], 0.2)
+    texts = ["".join(rng.choice(list("abcdefghxyzñéабвгд  "), 40)) for _ in range(60)]
+    got, score, _ = model.predict(texts)
+    margins, _ = langid.features(texts)
+    for k, t in enumerate(texts):
+        loss = []
+        for word in model.code.tolist():  # bit by bit, in plain numbers
+            margin = [sum(float(a) * float(b) for a, b in zip(margins[k], w) if a) + float(b0) for w, b0 in zip(model.weights.T, model.bias)]
+            loss.append(sum(float(r) * np.log1p(np.exp(-bit * m)) for bit, m, r in zip(word, margin, model.trust)))
+        best = sorted(loss)
+        if best[1] - best[0] > 1e-3:
+            assert got[k] == model.languages[loss.index(best[0])]
+            assert abs(score[k] - 1 / sum(np.exp(best[0] - v) for v in loss)) < 1e-2
