@@ -5,8 +5,10 @@ cells, table sections' ends, void elements) and closes what is open when an oute
 what a browser wouldn't show; a renderer lays the rest out: blocks on lines of their own with blank lines around paragraphs,
 headings and lists, list items with bullets or numbers and an indent for each level, preformatted text as it stands, and
 table cells padded to their columns, with cells that span several. All visible text is emitted, whatever its density; formulas
-and the texts of drawings too. The padding of a page's tables is at most ``PADDING`` characters for each one of its HTML; a
-table beyond that has its cells unpadded, those of several lines below one another.
+and the texts of drawings too. The padding of a page's tables and the indents of its lines are together at most ``PADDING``
+characters for each one of its HTML (and 4096); a table beyond that has its cells unpadded, those of several lines below one
+another, and lines beyond that stand without indent. A span of a cell is clipped to the columns in which some cell of its table
+starts, so tables cost as much as their cells, whatever spans they state.
 
 Hidden: the head, scripts, styles, templates, fallback content of media and frames, ``hidden`` attributes, ``display:none`` and
 ``visibility:hidden`` in style attributes, closed ``details`` but for the summary, closed dialogs, hidden inputs, comments;
@@ -20,7 +22,9 @@ rendered each. Extra columns pass through :func:`extract`; ``title`` and ``text`
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html import unescape
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -171,7 +175,7 @@ def visible(node: Node) -> bool:
 
 
 class Page:
-    """Lines of one block of text as it is laid out. ``room`` is what its page's tables may still pad, shared by all its blocks."""
+    """Lines of one block of text as it is laid out. ``room`` is what its page may still pad and indent, shared by all its blocks."""
 
     def __init__(self, room: list[int]):
         self.room = room
@@ -207,7 +211,9 @@ class Page:
         if self.gap and self.lines:
             self.lines.append("")
         self.gap = False
-        self.lines.append((self.indent[: len(self.indent) - len(self.mark)] + self.mark + text).rstrip() if self.mark else self.indent + text)
+        indent = self.indent if len(self.indent) <= self.room[0] else self.mark and " " * len(self.mark)
+        self.room[0] -= len(indent)
+        self.lines.append((indent[: len(indent) - len(self.mark)] + self.mark + text).rstrip() if self.mark else indent + text)
         self.mark = ""
 
     def whole(self, text: str) -> None:
@@ -347,10 +353,9 @@ def table(node: Node, page: Page) -> None:
         layout(stray, page)
         page.end_line()
     grid: list[list[tuple[int, int, list[str]]]] = []  # (column, columns, lines)
-    busy: dict[int, int] = {}
-    for row in rows:
-        cells, column = [], 0
-        down = {k: v - 1 for k, v in busy.items() if v > 1}
+    busy: list[tuple[int, int, int]] = []  # (first column, behind the last, last row) of neighbours that reach down
+    for n, row in enumerate(rows):
+        cells, column, at, held = [], 0, 0, []
         for c in row.children:
             if isinstance(c, str):
                 if not c.strip():
@@ -360,8 +365,9 @@ def table(node: Node, page: Page) -> None:
                 c = cell
             if not visible(c):
                 continue
-            while busy.get(column, 0) > 0:
-                column += 1
+            while at < len(busy) and busy[at][0] <= column:
+                column = max(column, busy[at][1]) if busy[at][2] >= n else column
+                at += 1
             own = Page(page.room)
             layout(c, own)
             lines = own.text().split("\n")
@@ -369,29 +375,33 @@ def table(node: Node, page: Page) -> None:
             wide = _span(c, "colspan")
             cells.append((column, wide, lines))
             if (deep := _span(c, "rowspan")) > 1:
-                down.update(dict.fromkeys(range(column, column + wide), deep - 1))
+                near = held and held[-1][1:] == (column, n + deep - 1)
+                held[-1 if near else len(held) :] = [(held[-1][0] if near else column, column + wide, n + deep - 1)]
             column += wide
-        busy = down
+        if held or n % 100 == 99:
+            busy = sorted([x for x in busy if x[2] > n] + held)
         if any(any(lines) for _, _, lines in cells):
             grid.append(cells)
             page.rows += 1
-    width: dict[int, int] = {}
+    starts = sorted({column for cells in grid for column, _, _ in cells})
+    number = {column: k for k, column in enumerate(starts)}
+    grid = [[(number[column], bisect_left(starts, column + wide) - number[column], lines) for column, wide, lines in cells] for cells in grid]
+    width = [0] * len(starts)
     for cells in grid:
         for column, wide, lines in cells:
             if wide == 1:
-                width[column] = max(width.get(column, 0), *map(len, lines))
+                width[column] = max(width[column], *map(len, lines))
+    upto = [0, *accumulate(width)]
     for cells in grid:
         for column, wide, lines in cells:
-            short = max(map(len, lines)) - sum(width.get(k, 0) for k in range(column, column + wide)) - 3 * (wide - 1)
-            if wide > 1 and short > 0:
-                width[column + wide - 1] = width.get(column + wide - 1, 0) + short
-    start, at = {}, 0
-    for k in range(max(width, default=-1) + 1):
-        start[k] = at
-        at += width.get(k, 0) + 3 if width.get(k, 0) else 0
+            if wide > 1:  # what a cell needs beyond its columns is its last column's
+                last = column + wide - 1
+                short = max(map(len, lines)) - (upto[last] - upto[column]) - 3 * (wide - 1)
+                width[last] = max(width[last], short)
+    start = [0, *accumulate(w + 3 if w else 0 for w in width)]
     padding = 0
     for cells in grid:
-        end = max(start.get(column, at) for column, _, lines in cells if any(lines))
+        end = max(start[column] for column, _, lines in cells if any(lines))
         deep = max(len(lines) for _, _, lines in cells)
         padding += max(0, end * deep - sum(map(len, (x for _, _, lines in cells for x in lines))))
     if padding > page.room[0]:
@@ -409,7 +419,7 @@ def table(node: Node, page: Page) -> None:
         for n in range(max(len(lines) for _, _, lines in cells)):
             line = ""
             for column, _, lines in cells:
-                place = start.get(column, at)
+                place = start[column]
                 if place:
                     line = line.ljust(place - 3) + " | "
                 line += lines[n] if n < len(lines) else ""

@@ -1,6 +1,8 @@
 """HTML rendering: layout rules by example, and all visible words against the standard library's parser."""
 
 import re
+import time
+import tracemalloc
 from html.parser import HTMLParser
 
 import pytest
@@ -103,3 +105,25 @@ def test_frame(spark):
     assert sorted((r.page_id or 0, r.text, r.title) for r in extract(df).collect()) == [(0, "", ""), (1, "a", ""), (1, "a", ""), (2, "", "")]
     assert digest(df.limit(0)).count() == 0
     assert [r._page for r in extract(df.withColumnRenamed("url", "_page").filter("page_id = 2")).collect()] == ["v"]
+
+
+def test_huge_spans_and_deep_indents_cost_little():
+    cell = '<td colspan=999 rowspan=999>x</td>'
+    for html in (f"<table><tr>{cell * 8_000}</tr></table>", f"<table>{f'<tr>{cell * 100}</tr>' * 80}</table>", "<table>" + f"<tr>{cell}<td>y</td></tr>" * 3_000 + "</table>"):
+        tracemalloc.start()
+        begun = time.perf_counter()
+        _, text, _, rows = render(html)
+        took, most = time.perf_counter() - begun, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert took < 60 and most < 200e6 + 100 * len(html) and len(text) <= 3 * len(html) + 4096
+        assert text.count("x") == html.count(cell) and rows == html.count("<tr>")
+    for html in ("<blockquote>" * 150 + "<br>".join(f"line{k}" for k in range(20_000)), "<ul><li>" * 100 + "<p>".join(f"line{k}" for k in range(20_000))):
+        text = render(html)[1]
+        assert len(text) <= 3 * len(html) + 4096 and [x.split()[-1] for x in text.split("\n") if "line" in x] == [f"line{k}" for k in range(20_000)]
+
+
+def test_spans_take_the_columns_that_cells_start_in():
+    html = "<table><tr><td colspan=3>all of it</td><td>r</td></tr><tr><td>a</td><td>b</td><td>c</td><td>s</td></tr><tr><td colspan=900>wide one</td></tr></table>"
+    assert render(html)[1].split("\n") == ["all of it | r", "a | b | c | s", "wide one"]
+    down = "<table><tr><td rowspan=2>d</td><td>x</td></tr><tr><td>y</td></tr><tr><td colspan=2>bottom row</td></tr></table>"
+    assert render(down)[1].split("\n") == ["d | x", "  | y", "bottom row"]
