@@ -80,7 +80,7 @@ def failed(docs: DataFrame, limits: Limits) -> DataFrame:
     own = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("part"), "text")
     flagged = cut(per_batch(own, flags, "doc_id long, part string, bits int, same binary"))
     ids = flagged.filter("doc_id is not null").groupBy("same").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    several = ids.filter("first < last").select("same", "first")
+    several = cut(ids.filter("first < last").select("same", "first"))  # written, so that both sides of the join are plain shuffles
     repeated = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).cast("int") * 16
     return flagged.join(several, "same", "left").select("doc_id", "part", (F.col("bits") + repeated).alias("bits"))
 
@@ -158,7 +158,7 @@ def reported(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def audit(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row for each part, order and step: kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley."""
     said = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"))
-    rows = failed(docs, limits).join(said, "doc_id", "left")
+    rows = failed(docs, limits).join(cut(said), "doc_id", "left")
     known = rows.select("part", "bits", *(F.coalesce(c, F.lit(False)).alias(c) for c in ("good", "toxic")))
     partial = known.mapInArrow(counted, "part string, salt int, sums binary")
     fewer = partial.repartition("part", "salt").sortWithinPartitions("part").mapInArrow(summed, "part string, sums binary")
