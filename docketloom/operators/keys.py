@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank
+from ..written import settled
+from .ordinals import with_places
 
 
 def row_key(*parts: Column | str) -> Column:
@@ -20,9 +22,11 @@ def capped_key(base: Column, most: int = 124) -> Column:
 
 
 def with_ordinals(df: DataFrame, base: str, order: list, name: str = "row_key") -> DataFrame:
-    """``base`` as ``name``, with :2, :3, … behind it from its second row on, in ``order``."""
-    n = F.row_number().over(Window.partitionBy(base).orderBy(*order))
-    return df.withColumn(name, F.when(n == 1, F.col(base)).otherwise(F.concat_ws(":", base, n.cast("string"))))
+    """``base`` as ``name``, with :2, :3, … behind it from its second row on, in ``order``. A base of any number of rows is dealt
+    to many tasks (:mod:`.ordinals`)."""
+    made = with_places(df, order, [base], "_n")
+    own = F.when(F.col("_n") == 1, F.col(base)).otherwise(F.concat_ws(":", base, F.col("_n").cast("string")))
+    return made.withColumn(name, own).drop("_n")
 
 
 def first_wins(df: DataFrame, key: list[Column | str], order: list[str]) -> DataFrame:
@@ -34,15 +38,30 @@ def first_wins(df: DataFrame, key: list[Column | str], order: list[str]) -> Data
 
 
 def prefer_filled(df: DataFrame, key: str, arrival: str, first: str, second: str) -> DataFrame:
-    """One row for each key by a fold over arrival: a row takes the place of the held one if it fills ``first`` where that is
-    blank there, or else fills ``second`` where that is blank. The rule isn't an order (each replacement may lose the other
-    column), so arrivals and two flags of a key are folded, and the winner's arrival is joined back."""
-    flag = lambda c: blank(F.col(c)) != ""
-    seen = F.array_sort(F.collect_list(F.struct(F.col(arrival).alias("at"), flag(first).alias("a"), flag(second).alias("b"))))
-    step = lambda held, x: F.when(held.isNull() | (x["a"] & ~held["a"]) | (x["b"] & ~held["b"]), x).otherwise(held)
-    start = F.lit(None).cast(f"struct<at:{dict(df.dtypes)[arrival]},a:boolean,b:boolean>")
-    won = df.groupBy(key).agg(F.aggregate(seen, start, step)["at"].alias("_won")).withColumnRenamed(key, "_key")
-    return df.join(won, (F.col(key) == F.col("_key")) & (F.col(arrival) == F.col("_won")), "left_semi")
+    """One row for each key, the last that a walk over its arrivals holds: a row takes the place of the held one if it fills
+    ``first`` where that is blank there, or else fills ``second`` where that is blank.
+
+    The held row fills both, one, or none. One that fills both is never replaced, and the first such row replaces whatever is
+    held; without one, rows that fill only ``first`` and rows that fill only ``second`` take turns, so the walk ends at the first row
+    of the last turn: the first of the kind that came last behind the last of the other kind. All that are minima and maxima of
+    a key, combined before the shuffle; only keys with two kinds and no full row are read a second time. Rows of one
+    arrival are walked with the emptier, then the ``second`` one first."""
+    row, at = F.struct(*df.columns), F.struct(F.col(arrival).alias("at"), F.col("_a").alias("a"), F.col("_b").alias("b"))
+    filled = lambda c: blank(F.col(c)) != ""
+    marked = df.select(row.alias("_row"), F.col(key).alias("_key"), filled(first).alias("_a"), filled(second).alias("_b"), F.col(arrival)).withColumn("_at", at)
+    only = {"a": F.col("_a") & ~F.col("_b"), "b": ~F.col("_a") & F.col("_b")}
+    best = lambda when: F.min_by(F.when(when, F.col("_row")), F.when(when, F.col("_at")))
+    seen = marked.groupBy("_key").agg(
+        F.min_by("_row", "_at").alias("any"), best(F.col("_a") & F.col("_b")).alias("full"),
+        *(best(c).alias(f"first_{k}") for k, c in only.items()), *(F.max(F.when(c, F.col("_at"))).alias(f"last_{k}") for k, c in only.items()),
+    )
+    seen = settled(seen)
+    turns = seen.filter("full is null and last_a is not null and last_b is not null")
+    turns = turns.select(F.col("_key").alias("_turn"), (F.col("last_a") > F.col("last_b")).alias("_by_a"), F.least("last_a", "last_b").alias("_since"))
+    late = marked.filter(only["a"] | only["b"]).join(turns, F.col("_key").eqNullSafe(F.col("_turn"))).filter((F.col("_a") == F.col("_by_a")) & (F.col("_at") > F.col("_since")))
+    turned = late.groupBy("_turn").agg(F.min_by("_row", "_at").alias("turned"))
+    won = seen.join(turned, F.col("_key").eqNullSafe(F.col("_turn")), "left").select(F.coalesce("full", "turned", "first_a", "first_b", "any").alias("_row"))
+    return won.select(*(F.col(f"_row.{c}").alias(c) for c in df.columns))
 
 
 def content_signature(*columns: str) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank
+from ..written import settled
+from .ordinals import with_places
 
 
 class GuardError(RuntimeError):
@@ -58,11 +60,21 @@ def bucket(old: Column, new: Column) -> Column:
 
 
 def replay(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Old and new values of ``columns`` side by side with a bucket each; rows of only one run count as blank in the other."""
-    a = old.select(key, *(F.col(c).alias(f"old_{c}") for c in columns))
-    b = new.select(F.col(key).alias("_key"), *(F.col(c).alias(f"new_{c}") for c in columns))
-    both = a.join(b, F.col(key) == F.col("_key"), "full_outer").withColumn(key, F.coalesce(F.col(key), F.col("_key"))).drop("_key")
-    return both.withColumns({f"{c}_bucket": bucket(F.col(f"old_{c}"), F.col(f"new_{c}")) for c in columns})
+    """Old and new values of ``columns`` side by side with a bucket each: the difference of two multisets, so a key of n and m rows
+    gives as many rows as the larger. Rows of a key with equal values are paired first (they are counted, not joined), the others by
+    their ordinals in the order of their values; a row of only one run counts as blank in the other. Nulls are blank."""
+    own = lambda df, sign: df.select(F.col(key).alias("_key"), F.struct(*(blank(F.col(c).cast("string")).alias(c) for c in columns)).alias("_v"), F.lit(sign).alias("_sign"))
+    both = own(old, 1).union(own(new, -1))
+    counts = both.groupBy("_key", "_v").agg(F.count_if(F.col("_sign") > 0).alias("_old"), F.count_if(F.col("_sign") < 0).alias("_new"))
+    counts = settled(counts.withColumn("_same", F.least("_old", "_new")))
+    times = lambda df, n: df.filter(n > 0).withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), n)))
+    same = times(counts, F.col("_same")).select("_key", F.col("_v").alias("_o"), F.col("_v").alias("_n"))
+    left, right = (with_places(times(counts, F.col(c) - F.col("_same")).select("_key", "_v"), ["_v"], ["_key"], "_at") for c in ("_old", "_new"))
+    right = right.select(F.col("_key").alias("_key2"), F.col("_v").alias("_n"), F.col("_at").alias("_at2"))
+    paired = left.withColumnRenamed("_v", "_o").join(right, F.col("_key").eqNullSafe(F.col("_key2")) & (F.col("_at") == F.col("_at2")), "full_outer")
+    paired = paired.select(F.when(F.col("_at").isNull(), F.col("_key2")).otherwise(F.col("_key")).alias("_key"), "_o", "_n")
+    made = same.union(paired).select(F.col("_key").alias(key), *(F.col(f"_o.{c}").alias(f"old_{c}") for c in columns), *(F.col(f"_n.{c}").alias(f"new_{c}") for c in columns))
+    return made.withColumns({f"{c}_bucket": bucket(F.col(f"old_{c}"), F.col(f"new_{c}")) for c in columns})
 
 
 def replay_counts(compared: DataFrame, columns: list[str]) -> DataFrame:
