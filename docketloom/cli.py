@@ -1,7 +1,8 @@
 """docketloom SLUG --landing DIR --out DIR: run one dataset over landed frames to its wide CSV.
 
 The landing folder holds one Parquet, JSON-lines or TSV source for each input of the dataset, by its name (``--list`` shows them);
-``--harvest FILE`` is the input ``harvest`` of the datasets that have one. Exit codes: 0 done, 1 nothing to do, 2 no such dataset.
+``--harvest FILE`` is the input ``harvest`` of the datasets that have one. An output of an earlier run is replaced only if every guard
+of the dataset holds. Exit codes: 0 done, 1 nothing to do, 2 no such dataset.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from .plans import cases, dataset, feeds, layouts, listings  # noqa: F401  (registers the datasets)
 from .ship import ship
 from .sources import landing
-from .sources.sinks import write_csv
 
 
 def load(spark: SparkSession, spec: dataset.Dataset, folder: str | None, harvest: str | None) -> dict[str, DataFrame]:
@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--harvest", help="harvest file (JSON lines or TSV) of datasets that read one")
     parser.add_argument("--out", default="out", help="output folder (default: out)")
     parser.add_argument("--as-of", help="day that plausible years are counted from (default: today)")
-    parser.add_argument("--staging", help="folder for the parsed rows, which guards, order and sink read (default: a sibling of the output)")
+    parser.add_argument("--staging", help="folder for the parsed rows, which guards, order and sink read and which go afterwards (default: that of the output)")
     parser.add_argument("--parts", action="store_true", help="write a folder of part files in order, not a single one")
     parser.add_argument("--list", action="store_true", help="list datasets and their inputs")
     args = parser.parse_args(argv)
@@ -61,9 +61,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"docketloom {spec.slug}").getOrCreate()
     ship(spark)
     now = datetime.now(UTC).replace(microsecond=0)
-    table = spec.table(load(spark, spec, args.landing, args.harvest), now.isoformat(), args.as_of or now.date().isoformat(), args.staging or f"{args.out}/_staging")
     target = f"{args.out}/{spec.csv_name}"
-    print(f"Wrote {write_csv(table, target, spec.columns, single=not args.parts)} rows to {target}")
+    n = spec.publish(load(spark, spec, args.landing, args.harvest), target, now.isoformat(), args.as_of or now.date().isoformat(), single=not args.parts, staging=args.staging)
+    print(f"Wrote {n} rows to {target}")
     return 0
 
 

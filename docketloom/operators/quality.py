@@ -24,6 +24,25 @@ def counters(df: DataFrame, conditions: dict[str, Column], *by: str) -> DataFram
     return df.groupBy(*by).agg(F.count("*").alias("n"), *(F.count_if(c).alias(name) for name, c in conditions.items()))
 
 
+def enough(name: str, rows: int, least: int) -> None:
+    """At least ``least`` rows, or a :class:`GuardError`."""
+    if rows < least:
+        raise GuardError(f"{name}: {rows} rows, at least {least} expected")
+
+
+def few_failures(name: str, failed: int, asked: int, most: float) -> None:
+    """At most ``most`` of the documents asked for failed (five always may), or a :class:`GuardError`."""
+    if failed > max(5, most * asked):
+        raise GuardError(f"{name}: {failed} of {asked} documents failed")
+
+
+def no_repeats(df: DataFrame, name: str, key: str) -> None:
+    """No value of ``key`` occurs twice, or a :class:`GuardError`; only that column is read, and counts are combined before the shuffle."""
+    more = df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").agg(F.sum(F.col("n") - 1).alias("n")).first().n
+    if more:
+        raise GuardError(f"{name}: {more} repeated keys")
+
+
 def require(df: DataFrame, name: str, least: int = 1, unique: str | None = None, expected: int | None = None, ratio: float | None = None, slack: int | None = None, failures: Column | None = None, most_failures: float = 0.05) -> DataFrame:
     """``df``, after one pass over it that raises :class:`GuardError` for too few rows, a repeated key, a count that differs from
     ``expected`` (by more than ``slack``, or below ``ratio`` of it), or too large a share of failures (five always pass)."""
@@ -31,14 +50,13 @@ def require(df: DataFrame, name: str, least: int = 1, unique: str | None = None,
     ask += [F.count_distinct(unique).alias("keys")] if unique else []
     ask += [F.count_if(failures).alias("failed")] if failures is not None else []
     got = df.agg(*ask).first()
-    if got.rows < least:
-        raise GuardError(f"{name}: {got.rows} rows, at least {least} expected")
+    enough(name, got.rows, least)
     if unique and got["keys"] != got.rows:
         raise GuardError(f"{name}: {got.rows - got['keys']} repeated keys")
     if expected is not None and (ratio is not None and got.rows < ratio * expected or slack is not None and abs(got.rows - expected) > slack or ratio is None and slack is None and got.rows != expected):
         raise GuardError(f"{name}: {got.rows} rows, the source states {expected}")
-    if failures is not None and got.failed > max(5, most_failures * got.rows):
-        raise GuardError(f"{name}: {got.failed} of {got.rows} documents failed")
+    if failures is not None:
+        few_failures(name, got.failed, got.rows, most_failures)
     return df
 
 

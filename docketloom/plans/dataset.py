@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.text import blank
 from ..operators import keys, quality
 from ..schema import to_wide
+from ..sources import publish as publishing
+from ..sources.sinks import write_csv
 
 REGISTRY: dict[str, Dataset] = {}
 PLACE = ("jurisdiction_city", "jurisdiction_state", "employer_street", "employer_zip")
@@ -33,6 +35,7 @@ class Dataset:
     least: int = 1
     first_wins: tuple[Sequence[str], Sequence[str]] | None = None
     totals: Callable[[Mapping[str, DataFrame]], tuple] | None = None  # frames to (stated, off, *by) of quality.require_totals
+    failures: tuple[str, str, str, float] | None = None  # the frame of documents; SQL over rows: one was asked for, it failed; the share that may
 
     @property
     def csv_name(self) -> str:
@@ -61,6 +64,27 @@ class Dataset:
         order = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in self.order]
         return to_wide(made.orderBy(*order), self.columns)
 
+    def publish(self, frames: Mapping[str, DataFrame], target: str, scraped_at: str, as_of: str, single: bool = True, staging: str | None = None) -> int:
+        """The dataset as CSV in the place of ``target``, or a :class:`GuardError` and the old output. The rows are parsed and written
+        once, and the guards that a single pass can judge are measured in that write; gives the number of rows."""
+        made = self.rows(frames, scraped_at, as_of)
+        metrics = {"rows": F.count(F.lit(1))}
+        read = self.failures is not None and not frames[self.failures[0]].isEmpty()  # where no document was landed, none was asked for
+        if read:
+            _, asked, failed, _ = self.failures
+            metrics |= {"asked": F.count_if(F.expr(asked)), "failed": F.count_if(F.expr(failed))}
+        order = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in self.order]
+        with publishing.staged(made, target, metrics, staging) as (rows, seen):
+            quality.enough(self.slug, seen["rows"], self.least)
+            if read:
+                quality.few_failures(self.slug, seen["failed"], seen["asked"], self.failures[3])
+            if self.unique:
+                quality.no_repeats(rows, self.slug, "row_key")
+            if self.totals:
+                quality.require_totals(rows, self.slug, *self.totals(frames))
+            ordered = to_wide(rows.orderBy(*order), self.columns)
+            return publishing.published(rows.sparkSession, target, lambda path: write_csv(ordered, path, self.columns, single))
+
 
 def dataset(**spec) -> Callable:
     """Register the decorated function as the ``build`` of a dataset."""

@@ -132,6 +132,16 @@ MD_CASE = r"(?i)\b((?:PERB|SLRB|PSLRB|SHELRB|HELRB)\s+[A-Z]{1,4}(?:\.[A-Z])?\s*\
 MD_REPEATED = ("412", "425")
 
 
+MD_CARD = r'(?is)<article class="maryland-listing-item__container(?:\s[^"]*)?"[^>]*>(.*?)</article>'
+MD_LINK = r'(?i)<a class="maryland-listing-item__title" href="([^"]+)"'
+
+
+def maryland_total(pages: DataFrame) -> DataFrame:
+    """The total that the pages state, less the entries among theirs that are left out because they are published twice."""
+    media = F.transform(F.regexp_extract_all("html", F.lit(MD_CARD), F.lit(1)), lambda a: F.regexp_extract(F.regexp_extract(a, MD_LINK, 1), r"/media/(\d+)", 1))
+    return pages.agg((F.max(stated_total("html")) - F.coalesce(F.sum(F.size(F.filter(media, lambda m: m.isin(*MD_REPEATED)))), F.lit(0))).alias("total"))
+
+
 def maryland_parties(text: Column) -> Column:
     """struct(employer, union) of a card's title: at " - ", else at the first comma."""
     dash, comma = F.contains(text, F.lit(" - ")), F.contains(text, F.lit(","))
@@ -145,15 +155,15 @@ def maryland_parties(text: Column) -> Column:
 
 @dataset(
     slug="md-perb-election-certs", agency="MD_PERB", constants={"native_case_type": "Election Certifications", "jurisdiction_state": "MD"}, order=["row_key"],
+    totals=lambda frames: (maryland_total(frames["pages"]), F.col("rows") != F.col("total")),
     inputs={"pages": "url string, html string", "overrides": "media_id string, employer_name string, union_name string"},
     columns=("row_key", "source_agency_code", "case_number", "canonical_case_type", "native_case_type", "employer_type", "employer_name", "union_name", *PLACE, "event_date", "document_title", "document_description", "pdf_url", *ENDS),
 )
 def maryland(frames, as_of) -> DataFrame:
     """Maryland PERB election certifications; verified parties, and ``overrides`` before them, beat the titles."""
-    card = r'(?is)<article class="maryland-listing-item__container(?:\s[^"]*)?"[^>]*>(.*?)</article>'
-    a = frames["pages"].select("url", F.posexplode(F.regexp_extract_all("html", F.lit(card), F.lit(1))).alias("pos", "a"))
+    a = frames["pages"].select("url", F.posexplode(F.regexp_extract_all("html", F.lit(MD_CARD), F.lit(1))).alias("pos", "a"))
     part = lambda p: strip_html(F.regexp_extract("a", "(?is)" + p, 1))
-    href = F.regexp_extract("a", r'(?i)<a class="maryland-listing-item__title" href="([^"]+)"', 1)
+    href = F.regexp_extract("a", MD_LINK, 1)
     r = a.select(
         F.col("url").alias("source_page_url"), part(r"maryland-listing-item__eyebrow[^>]*>\s*([^<]+?)\s*</div>").alias("employer_type"), part(r'maryland-link__document-title">([^<]+)</span>').alias("document_title"),
         F.when(href != "", absolute_url(F.lit(MD_SITE), href)).otherwise(F.col("url")).alias("pdf_url"), part(r"maryland-listing-item__date[^>]*>\s*([^<]+?)\s*</div>").alias("event_date"), part(r"maryland-listing-item__description[^>]*>\s*(?:<p>)?([^<]*)(?:</p>)?").alias("document_description"),
@@ -279,7 +289,8 @@ def order_date(text: Column, as_of) -> Column:
 
 
 @dataset(
-    slug="dc-perb-certifications", agency="DC_PERB", constants={"jurisdiction_city": "Washington", "jurisdiction_state": "DC"}, order=["case_number", "row_key"], inputs={"pages": "url string, html string", "documents": DOCUMENTS},
+    slug="dc-perb-certifications", agency="DC_PERB", constants={"jurisdiction_city": "Washington", "jurisdiction_state": "DC"}, order=["case_number", "row_key"], failures=("documents", "document_text_method <> 'no_document'", "document_text_method = 'fetch_failed'", 0.05),
+    inputs={"pages": "url string, html string", "documents": DOCUMENTS},
     columns=("row_key", "source_agency_code", "case_number", "certification_number", "canonical_case_type", "native_case_type", "employer_name", "union_name", "union_name_source", "listing_complainant", "listing_respondent", "petitioner", "respondent", "agency", "intervenor", "certified_representative", "certification_result", "document_text_method", "date_opened", "order_date", "order_date_raw", "order_date_source", "order_date_precision", "dc_register_cite", "document_name", "document_url", *PLACE, *ENDS),
 )
 def district_of_columbia(frames, as_of) -> DataFrame:
@@ -321,7 +332,7 @@ FL_BLANK = ("-0-", "0", "-", "n/a", "na", "none")
 
 
 @dataset(
-    slug="fl-perc-certifications", agency="FL_PERC", constants={"canonical_case_type": "CERTIFICATION", "native_case_type": "CERTIFICATION"}, order=["_number"], least=1500,
+    slug="fl-perc-certifications", agency="FL_PERC", constants={"canonical_case_type": "CERTIFICATION", "native_case_type": "CERTIFICATION"}, order=["_number"], least=1500, failures=("dossiers", "pdf_fetch_status <> 'no_link'", "pdf_fetch_status = 'fetch_failed'", 0.05),
     inputs={"pages": "url string, page int, html string", "dossiers": "url string, text string, method string, whole boolean, problem string, is_image_only boolean, text_chars int"},
     columns=("row_key", "source_agency_code", "certification_number", "canonical_case_type", "native_case_type", "employer_name", "union_name", *PLACE, "certification_pdf_url", "pdf_file_name", "is_image_only", "text_chars", "certification_status", "latest_order_title", "latest_order_date", "revocation_signal", "certification_order_date", "certification_order_date_source", "dossier_text_method", "pdf_fetch_status", *ENDS),
 )
