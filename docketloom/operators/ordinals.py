@@ -34,16 +34,19 @@ def ranges(df: DataFrame, *order: Column | str) -> tuple[DataFrame, str, str]:
 
 
 def with_places(df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = (), name: str = "place") -> DataFrame:
-    """``df`` with the place (from 1) of each row in ``order``, among all rows or those with equal ``by``; nulls are equal there."""
+    """``df`` with the place (from 1) of each row in ``order``, among all rows or those with equal ``by``; nulls are equal there. A
+    column that is already named ``name`` is replaced."""
     held, part, here = ranges(df, *by, *order)
     before = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    counts = held.groupBy(*by, part).agg(F.count("*").alias("n"), F.min(here).alias("low"))
-    add = counts.select(*(F.col(c).alias(f"_of_{k}") for k, c in enumerate(by)), F.col(part).alias("_of"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("low") + 1).alias("_add"))
-    same = F.col(part) == F.col("_of")
+    rows, low = _unused("rows", held), _unused("low", held)
+    counts = held.groupBy(*by, part).agg(F.count("*").alias(rows), F.min(here).alias(low))
+    of, add = _unused("of", held), _unused("add", held)
+    base = counts.select(*(F.col(c).alias(f"{of}{k}") for k, c in enumerate(by)), F.col(part).alias(of), (F.coalesce(F.sum(rows).over(before), F.lit(0)) - F.col(low) + 1).alias(add))
+    same = F.col(part) == F.col(of)
     for k, c in enumerate(by):
-        same = same & F.col(c).eqNullSafe(F.col(f"_of_{k}"))
-    made = held.join(add, same)
-    return made.select(*df.columns, (F.col(here) + F.col("_add")).alias(name))
+        same = same & F.col(c).eqNullSafe(F.col(f"{of}{k}"))
+    made = held.join(base, same)
+    return made.select(*(c for c in df.columns if c != name), (F.col(here) + F.col(add)).alias(name))
 
 
 def descents(parts: DataFrame, part: str, *order: str) -> DataFrame:

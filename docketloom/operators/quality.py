@@ -60,12 +60,17 @@ def require(df: DataFrame, name: str, least: int = 1, unique: str | None = None,
     return df
 
 
+def off_totals(df: DataFrame, stated: DataFrame, off: Column, *by: str) -> DataFrame:
+    """The groups of ``by`` (or all rows) whose number of rows is ``off`` from what a source states: by, rows and total."""
+    counts = df.groupBy(*by, F.lit(0).alias("_all")).agg(F.count("*").alias("rows"))
+    both = stated.filter("total is not null").withColumn("_all", F.lit(0)).join(counts, [*by, "_all"], "left")
+    return both.withColumn("rows", F.coalesce("rows", F.lit(0))).filter(off).select(*by, "rows", "total")
+
+
 def require_totals(df: DataFrame, name: str, stated: DataFrame, off: Column, *by: str) -> DataFrame:
     """``df``, after one pass over it that raises :class:`GuardError` where the number of its rows, in all or for each group of
     ``by``, is ``off`` from what a source states: a condition on ``rows`` and ``total``, the columns of ``stated`` (by, total)."""
-    counts = df.groupBy(*by, F.lit(0).alias("_all")).agg(F.count("*").alias("rows"))
-    both = stated.filter("total is not null").withColumn("_all", F.lit(0)).join(counts, [*by, "_all"], "left")
-    wrong = both.withColumn("rows", F.coalesce("rows", F.lit(0))).filter(off).limit(1).collect()
+    wrong = off_totals(df, stated, off, *by).limit(1).collect()
     if wrong:
         raise GuardError(f"{name}: {wrong[0].rows} rows{''.join(f', {c} {wrong[0][c]}' for c in by)}; the source states {wrong[0].total}")
     return df

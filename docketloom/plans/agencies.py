@@ -44,7 +44,8 @@ def _frames(spark, spec: dataset.Dataset, given: dict[str, DataFrame]) -> dict[s
 
 
 def run(spark, slug: str, **given: DataFrame) -> DataFrame:
-    """A dataset's table over made inputs, in its order and through its guards (a least number of rows apart)."""
+    """A dataset's table over made inputs, in its order and through its guards; of one with a floor of rows the rows alone, as the
+    made inputs may be fewer."""
     spec = dataset.get(slug)
     frames = _frames(spark, spec, given)
     if spec.least <= 1:
@@ -60,9 +61,13 @@ def odd(yes: str, no: str) -> Column:
 FROM (SELECT *, ['ULP', 'RC', 'UC'][s_suppkey % 3 + 1] AS t FROM supplier)""")
 def dataset_alaska(spark, sf_dir):
     """Links of an index, each file once."""
+    return run(spark, "ak-alra-board-decisions", **_alaska(spark, sf_dir)).select("case_number", "canonical_case_type", "pdf_url")
+
+
+def _alaska(spark, sf_dir) -> dict[str, DataFrame]:
     kind = F.element_at(F.array(*map(F.lit, ("ULP", "RC", "UC"))), (F.col("s_suppkey") % 3 + 1).cast("int"))
     html = F.concat(filled('<a href="/laborr/{k}.pdf">17-{k}-'), kind, filled('</a><a href="/laborr/{k}.PDF">again</a><a href="a.html">no</a>'))
-    return run(spark, "ak-alra-board-decisions", pages=_suppliers(spark, sf_dir).select(filled("https://labor.alaska.gov/{k}.html").alias("url"), html.alias("html"))).select("case_number", "canonical_case_type", "pdf_url")
+    return {"pages": _suppliers(spark, sf_dir).select(filled("https://labor.alaska.gov/{k}.html").alias("url"), html.alias("html"))}
 
 
 @query(f"""SELECT 'WA_PERC:' || {K} || '-U' AS row_key, '1/2/26' AS date_filed, 'https://perc.wa.gov/d' || {K} || '.pdf' AS pdf_url, {TOWN} || ' & Co (' || {K} || '-U)' AS document_title FROM supplier""")
@@ -127,12 +132,17 @@ def dataset_district_of_columbia(spark, sf_dir):
   CASE WHEN s_suppkey % 2 = 1 THEN '1994-05-02' ELSE '1992-06-01' END AS latest_order_date FROM supplier""")
 def dataset_florida(spark, sf_dir):
     """A grid's rows, the later page filling the earlier's gaps, and the status by each dossier's last order."""
+    made = run(spark, "fl-perc-certifications", **_florida(spark, sf_dir))
+    return made.select("certification_number", "employer_name", "union_name", "certification_status", "certification_order_date", "latest_order_date")
+
+
+def _florida(spark, sf_dir) -> dict[str, DataFrame]:
     row = '<table id="gridCases"><tr><td>{k}</td><td>PBA {k}</td><td>EMPLOYER</td><td><a href="/f.aspx?File={k}.pdf&amp;x=1">d</a></td></tr></table>'
     s = _suppliers(spark, sf_dir)
     pages = s.select(F.lit("https://perc.myflorida.com/r").alias("url"), F.explode(F.array(F.struct(F.lit(1).alias("page"), filled(row.replace("EMPLOYER", "")).alias("html")), F.struct(F.lit(2).alias("page"), filled(row.replace("EMPLOYER", "City of {town}, Florida")).alias("html")))).alias("p")).select("url", "p.*")
     text = F.concat(F.lit("ORDER AND CERTIFICATION\nserved June 1, 1992\n"), odd("ORDER REVOKING CERTIFICATION\nMay 2, 1994", ""))
     dossiers = s.select(filled("https://perc.myflorida.com/f.aspx?File={k}.pdf&x=1").alias("url"), text.alias("text"), F.lit("ocr").alias("method"), F.lit(True).alias("whole"), F.lit("").alias("problem"), F.lit(True).alias("is_image_only"), F.lit(50).alias("text_chars"))
-    return run(spark, "fl-perc-certifications", pages=pages, dossiers=dossiers).select("certification_number", "employer_name", "union_name", "certification_status", "certification_order_date", "latest_order_date")
+    return {"pages": pages, "dossiers": dossiers}
 
 
 @query(f"""SELECT CAST(10000 + s_suppkey AS VARCHAR) AS case_number, CASE WHEN s_suppkey % 2 = 1 THEN 'CITY OF ' || upper({TOWN}) ELSE 'City of Dover' END AS employer_name, CASE WHEN s_suppkey % 2 = 1 THEN 'TEAMSTERS LOCAL ' || {K} ELSE 'LiUNA Local 1029' END AS union_name,
@@ -151,12 +161,16 @@ def dataset_delaware(spark, sf_dir):
 @query(f"""SELECT 'PF-R-25-' || {K} || '-W' AS case_number, {TOWN} || ' Township' AS employer_name, 'Teamsters Local No. ' || {K} AS union_name, 'CERTIFICATION' AS canonical_case_type, 'dismissed' AS order_disposition, '2026-03-17' AS order_date FROM supplier""")
 def dataset_pennsylvania(spark, sf_dir):
     """Final orders: parties of the document, its disposition and a date in words."""
+    made = run(spark, "pa-plrb-final-orders", **_pennsylvania(spark, sf_dir))
+    return made.select("case_number", "employer_name", "union_name", "canonical_case_type", "order_disposition", "order_date")
+
+
+def _pennsylvania(spark, sf_dir) -> dict[str, DataFrame]:
     s = _suppliers(spark, sf_dir)
     html = filled('<p><a href="/documents/final-orders/pf-r-25-{k}-w.pdf">Teamsters</a> PF-R-25-{k}-W</p><a href="/form/x.pdf">form</a>')
     text = filled("IN THE MATTER OF THE EMPLOYES OF {TOWN} TOWNSHIP\n\nCase No. PF-R-25-{k}-W. It was filed with the Pennsylvania Labor Relations Board (Board) on May 1, 2025, by Teamsters Local No. {k}, affiliated. HEREBY ORDERS AND DIRECTS that it is dismissed. SEALED, DATED and MAILED this seventeenth day of March, 2026")
     documents = s.select(filled("https://www.pa.gov/documents/final-orders/pf-r-25-{k}-w.pdf").alias("url"), text.alias("text"), F.lit("text_layer").alias("method"))
-    made = run(spark, "pa-plrb-final-orders", pages=s.select(filled("https://www.pa.gov/y").alias("url"), F.lit("2026").alias("year"), html.alias("html")), documents=documents)
-    return made.select("case_number", "employer_name", "union_name", "canonical_case_type", "order_disposition", "order_date")
+    return {"pages": s.select(filled("https://www.pa.gov/y").alias("url"), F.lit("2026").alias("year"), html.alias("html")), "documents": documents}
 
 
 @query(f"""SELECT 'CA_PERB:' || {K} || 'H:' || {K} AS row_key, 'HEERA' AS jurisdiction_statute, 'Regents of the University of California' AS employer_name, 'Teamsters Local ' || {K} AS union_name, 'Dismissed.' AS disposition, '2026-01-02' AS decision_date FROM supplier""")
@@ -242,3 +256,17 @@ def dataset_hawaii(spark, sf_dir):
     text = F.concat(F.lit("HRS CHAPTER 89\nHAWAII FIRE FIGHTERS                "), unit, filled("ASSOCIATION, LOCAL {k} (HFFA)\nBobby Lee\nPresident\n2305 S. Beretania Street, Honolulu, Hawaii 96826\nTel. 949-1566\n"))
     made = run(spark, "hi-hlrb-employee-orgs", documents=_suppliers(spark, sf_dir).select(filled("https://h/{k}.pdf").alias("url"), text.alias("text")))
     return made.select("unit_number", "bargaining_unit_name", "union_name", "contact_name", "contact_title", "recertified", "certification_date")
+
+
+@query(f"""SELECT 'ak-alra-board-decisions' AS slug, 'AK_ALRA:' || {K} || ':17-' || {K} || '-' || ['ULP', 'RC', 'UC'][s_suppkey % 3 + 1] AS row_key,
+  row_number() OVER (ORDER BY CASE WHEN length({K}) < 6 THEN lpad({K}, 6, '0') ELSE {K} END, '17-' || {K} || '-' || ['ULP', 'RC', 'UC'][s_suppkey % 3 + 1]) AS position FROM supplier
+UNION ALL SELECT 'fl-perc-certifications', 'FL_PERC:' || {K}, row_number() OVER (ORDER BY s_suppkey) FROM supplier
+UNION ALL SELECT 'pa-plrb-final-orders', 'PA_PLRB:2026:PF-R-25-' || {K} || '-W:pf-r-25-' || {K} || '-w.pdf', row_number() OVER (ORDER BY 'PF-R-25-' || {K} || '-W' DESC) FROM supplier""")
+def dataset_positions(spark, sf_dir):
+    """Each row's place in its dataset: numbers padded, numbers as numbers, and text descending."""
+    made = None
+    for slug, given in (("ak-alra-board-decisions", _alaska), ("fl-perc-certifications", _florida), ("pa-plrb-final-orders", _pennsylvania)):
+        spec = dataset.get(slug)
+        rows = spec.positions(_frames(spark, spec, given(spark, sf_dir)), SCRAPED, AS_OF).select(F.lit(slug).alias("slug"), "row_key", "position")
+        made = rows if made is None else made.union(rows)
+    return made

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import blank
 from ..operators import keys, quality
+from ..operators.ordinals import with_places
 from ..schema import to_wide
 from ..sources import publish as publishing
 from ..sources.sinks import write_csv
@@ -64,6 +65,11 @@ class Dataset:
         order = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in self.order]
         return to_wide(made.orderBy(*order), self.columns)
 
+    def positions(self, frames: Mapping[str, DataFrame], scraped_at: str, as_of: str) -> DataFrame:
+        """The dataset's rows with ``position``, each one's place (from 1) in the dataset's order, by ranges and not in one task."""
+        order = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in self.order]
+        return with_places(self.rows(frames, scraped_at, as_of), order, name="position")
+
     def publish(self, frames: Mapping[str, DataFrame], target: str, scraped_at: str, as_of: str, single: bool = True, staging: str | None = None) -> int:
         """The dataset as CSV in the place of ``target``, or a :class:`GuardError` and the old output. The rows are parsed and written
         once, and the guards that a single pass can judge are measured in that write; gives the number of rows."""

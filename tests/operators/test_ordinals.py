@@ -19,8 +19,10 @@ def test_places_of_all_rows_and_within_keys(spark):
         groups[r[0]].append(r[2])
     got = {r.id: r.n for r in ordinals.with_places(df, ["v", "id"], ["k"], "n").collect()}
     assert got == {i: n for ids in groups.values() for n, i in enumerate(ids, 1)}
+    renamed = ordinals.with_places(df.withColumnsRenamed({"k": "n", "v": "low"}), ["low", "id"], ["n"], "rows")
+    assert {r.id: r.rows for r in renamed.collect()} == got
     assert ordinals.with_places(df.limit(0), ["v"]).count() == 0
-    clash = df.withColumns({"_part": F.lit(1), "_tie": F.lit(2), "place": F.lit("x")}).drop("place")
+    clash = df.withColumns({"_part": F.lit(1), "_tie": F.lit(2), "_of": F.lit(3), "_of_0": F.lit(4), "_add": F.lit(5)})
     assert set(ordinals.with_places(clash, ["v"]).columns) == {*clash.columns, "place"}
 
 
