@@ -1,8 +1,8 @@
-"""docketloom SLUG --landing DIR --out DIR: run one dataset over landed frames to its wide CSV.
+"""docketloom SLUG --landing DIR --out DIR: run one dataset over landed frames to its wide CSV; with --collect, fetch them first.
 
 The landing folder holds one Parquet, JSON-lines or TSV source for each input of the dataset, by its name (``--list`` shows them);
 ``--harvest FILE`` is the input ``harvest`` of the datasets that have one. An output of an earlier run is replaced only if every guard
-of the dataset holds. Exit codes: 0 done, 1 nothing to do, 2 no such dataset.
+of the dataset holds. Exit codes: 0 done, 1 nothing to do, 2 no such dataset or collector.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import cases, dataset, feeds, layouts, listings  # noqa: F401  (registers the datasets)
+from .plans import cases, collect, dataset, feeds, layouts, listings  # noqa: F401  (registers the datasets)
 from .ship import ship
 from .sources import landing
+from .sources.paging import Fetcher
 
 
 def load(spark: SparkSession, spec: dataset.Dataset, folder: str | None, harvest: str | None) -> dict[str, DataFrame]:
@@ -36,11 +37,12 @@ def load(spark: SparkSession, spec: dataset.Dataset, folder: str | None, harvest
     return frames
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, fetcher: Fetcher = landing.fetch, delay: float = 0.3) -> int:
     parser = argparse.ArgumentParser(prog="docketloom", description="Run a dataset over landed documents to a wide CSV.")
     parser.add_argument("slug", nargs="?", help="dataset; leave out with --list")
     parser.add_argument("--landing", help="folder with the dataset's inputs")
     parser.add_argument("--harvest", help="harvest file (JSON lines or TSV) of datasets that read one")
+    parser.add_argument("--collect", action="store_true", help="fetch the inputs first, into the landing folder (default: one in the output folder); what is there is not fetched again")
     parser.add_argument("--out", default="out", help="output folder (default: out)")
     parser.add_argument("--as-of", help="day that plausible years are counted from (default: today)")
     parser.add_argument("--staging", help="folder for the parsed rows, which guards, order and sink read and which go afterwards (default: that of the output)")
@@ -62,7 +64,15 @@ def main(argv: list[str] | None = None) -> int:
     ship(spark)
     now = datetime.now(UTC).replace(microsecond=0)
     target = f"{args.out}/{spec.csv_name}"
-    n = spec.publish(load(spark, spec, args.landing, args.harvest), target, now.isoformat(), args.as_of or now.date().isoformat(), single=not args.parts, staging=args.staging)
+    as_of = args.as_of or now.date().isoformat()
+    if args.collect:
+        if spec.slug not in collect.COLLECTORS:
+            print(f"{spec.slug} can't be collected; land its inputs. Can be: {', '.join(sorted(collect.COLLECTORS))}", file=sys.stderr)
+            return 2
+        frames = collect.frames(spark, spec.slug, args.landing or f"{args.out}/_landing/{spec.slug}", as_of, fetcher, delay)
+    else:
+        frames = load(spark, spec, args.landing, args.harvest)
+    n = spec.publish(frames, target, now.isoformat(), as_of, single=not args.parts, staging=args.staging)
     print(f"Wrote {n} rows to {target}")
     return 0
 

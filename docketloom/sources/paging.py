@@ -48,18 +48,18 @@ def records(content: bytes | None, field: str | None = None) -> list | None:
     return found if isinstance(found, list) else None
 
 
-def by_offset(name: str, template: str, size: int, field: str | None = None, total: Callable[[bytes], int | None] = lambda content: None) -> Source:
-    """``template`` with {start}: 0, size, 2 * size, … until a page is short or empty, or the stated total is reached."""
+def by_offset(name: str, template: str, size: int, field: str | None = None, total: Callable[[bytes], int | None] = lambda content: None, first: int = 0) -> Source:
+    """``template`` with {start}: ``first``, ``first`` + size, … until a page is short or empty, or the stated total is reached."""
 
     def rule() -> Next:
         def following(asked: int, content: bytes | None) -> str | None:
             found, stated = records(content, field), total(content) if content else None
             done = not found or len(found) < size or (stated is not None and asked * size >= stated)
-            return None if done else template.format(start=asked * size)
+            return None if done else template.format(start=first + asked * size)
 
         return following
 
-    return Source(name, template.format(start=0), rule)
+    return Source(name, template.format(start=first), rule)
 
 
 def by_page(name: str, template: str, size: int, field: str | None = None, most: int = 10_000) -> Source:
