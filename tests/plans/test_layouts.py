@@ -37,6 +37,46 @@ def test_illinois(spark):
     assert (r["agency"], r["union_name"], r["canonical_case_type"]) == ("Dept. of Revenue", "", "DESIGNATION_EXCLUDED")
 
 
+#: Cells above their case's line, rows without a blank line between them, a case number one space from its employer.
+ABOVE = """\
+                                                                   Date         Prevailing        # of
+  Case No.           Employer         Labor Organization          Certified       Party         Employees                   Unit Description
+
+                                               CERTIFICATIONS OF REPRESENTATION
+
+                                                                              Brotherhood
+                                    Brotherhood of Clerks                     of Clerks                     Included: All clerks of the
+ S-RC-26-001 Alder, City of         and Stewards, Local 9          7/9/2026   Local 9              14       city hall.
+                                                                              Allied
+                                    Allied Workers                            Workers Union,
+ L-RC-26-002 Birch, County of       Union, Local 73               7/10/2026   Local 73             1        Include: Drivers
+
+
+              Cedar County Circuit  International Association                 Association of                Included: All full-time
+ S-RC-26-003 Clerk                  of Machine Workers            7/13/2026   Machine Workers      5        deputies
+
+ S-RC-26-004 Dogwood, Village of    Allied Workers Council 31      8/3/2026   Council 31           4        Included: Plumbers
+"""
+
+
+def test_illinois_with_cells_above_their_case(spark):
+    by = {r["case_number"]: r for r in run(spark, "il-ilrb-bargaining-certs", documents=[("https://i/FY27.pdf", "FY27", ABOVE)])}
+    want = {
+        "S-RC-26-001": ("Alder, City of", "Brotherhood of Clerks and Stewards, Local 9", "7/9/2026", "14", "Included: All clerks of the city hall."),
+        "L-RC-26-002": ("Birch, County of", "Allied Workers Union, Local 73", "7/10/2026", "1", "Include: Drivers"),
+        "S-RC-26-003": ("Cedar County Circuit Clerk", "International Association of Machine Workers", "7/13/2026", "5", "Included: All full-time deputies"),
+        "S-RC-26-004": ("Dogwood, Village of", "Allied Workers Council 31", "8/3/2026", "4", "Included: Plumbers"),
+    }
+    assert {k: tuple(r[c] for c in ("employer_name", "union_name", "certified_date", "employees", "bargaining_unit_name")) for k, r in by.items()} == want
+
+
+def test_illinois_names_glued_and_companions():
+    assert layouts._without_overlap("City of Kent Town of Green Hills", "Town of Green Hills Park") == "City of Kent"
+    assert layouts._without_overlap("Town of Green Hills", "Town of Green Hills") == "Town of Green Hills" and layouts._without_overlap("a b", "") == "a b"
+    table = layouts._Table("H", ["case", "employer", "certified"], [0, 14, 40], ["S-DE-14-001   State of Ill      5/2/2014", "S-DE-14-002", "", "and", "S-DE-14-003   State of Ill      5/2/2014", "", "S-DE-14-004   State of Ill      6/2/2014"])
+    assert [(r["case_number"], r["certified_date"]) for r in table.read()] == [("S-DE-14-001+S-DE-14-002+S-DE-14-003", "5/2/2014"), ("S-DE-14-004", "6/2/2014")]
+
+
 def test_hawaii(spark):
     text = "HRS CHAPTER 89\nHAWAII FIRE FIGHTERS                Unit 11 (Firefighters) 2/4/72*\nASSOCIATION, LOCAL 1463 (HFFA)\nBobby Lee\nPresident\n2305 S. Beretania Street, Honolulu, Hawaii 96826\nTel. 949-1566\nwww.hawaiifirefighters.org/\n\nUNITED PUBLIC WORKERS               Unit 1 (Blue collar 10/20/71\n                                    workers)\n"
     rows = run(spark, "hi-hlrb-employee-orgs", documents=[("https://h/x.pdf", text)])
