@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ordinals, quality
 from ..sources.sinks import csv_line
+from . import weekly
 from .roundtrip import query, read
 
 
@@ -47,3 +48,21 @@ def csv_records(spark, sf_dir):
     """Each document as a record of CSV, quoted only where it must be, line feeds as they are."""
     d = read(spark, sf_dir, "documents")
     return d.select("doc_id", F.sha2(csv_line(["doc_id", "text", "lang", "source"]), 256).alias("record_sha256"))
+
+
+@query("""WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CAST(o_orderdate AS DATE) + 6 AS e, o_orderkey % 7 AS form FROM orders)
+SELECT o_orderkey, CASE WHEN form IN (0, 5, 6) THEN '' ELSE strftime(d, '%Y-%m-%d') END AS week_start, CASE form WHEN 5 THEN strftime(d, '%Y-%m-%d') WHEN 6 THEN '' ELSE strftime(e, '%Y-%m-%d') END AS week_end FROM d""")
+def report_weeks(spark, sf_dir):
+    """Seven forms of a report's week: an ending, an address, a borrowed year (over December, too), abbreviations, days of one month, a
+    single day, nothing."""
+    o = read(spark, sf_dir, "orders").withColumn("d", F.col("o_orderdate").cast("date")).withColumn("e", F.date_add("d", 6))
+    day = lambda c, form="MMMM d": F.date_format(c, form)
+    year = lambda c: F.date_format(c, "yyyy")
+    borrowed = F.concat(day("d"), F.lit(" – "), day("e"), F.lit(", "), year("e"))
+    slug = F.concat(F.lit("https://n.example/weekly-activity-report-"), F.lower(day("d", "MMMM-d-yyyy")), F.lit("-to-"), F.lower(day("e", "MMMM-d-yyyy")), F.lit("/"))
+    within = F.when(F.month("d") == F.month("e"), F.concat(day("d"), F.lit("-"), day("e", "d"), F.lit(", "), year("e"))).otherwise(borrowed)
+    short = F.concat(day("d", "MMM"), F.lit(". "), day("d", "d"), F.lit(", "), year("d"), F.lit(" through "), day("e", "MMM"), F.lit(". "), day("e", "d"), F.lit(", "), year("e"))
+    forms = [F.concat(F.lit("Week ending "), day("e"), F.lit(", "), year("e")), F.lit("Report"), borrowed, short, within, F.concat(day("d", "MMMM d"), F.lit("th "), year("d")), F.lit("Weekly Activity Report")]
+    told = F.element_at(F.array(*forms), (F.col("o_orderkey") % 7 + 1).cast("int"))
+    address = F.when(F.col("o_orderkey") % 7 == 1, slug).otherwise(F.lit("https://n.example/19048-2/"))
+    return o.select("o_orderkey", weekly.report_week(told, F.lit(""), address).alias("w")).select("o_orderkey", F.col("w.start").alias("week_start"), F.col("w.end").alias("week_end"))

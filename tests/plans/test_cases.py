@@ -1,5 +1,12 @@
 """Case pages, determinations, weekly reports and rosters on made inputs."""
 
+import re
+from datetime import date
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
 from docketloom.plans import cases, weekly  # noqa: F401
 
 from .helpers import check, run
@@ -39,16 +46,57 @@ def test_determinations(spark):
     )
 
 
-def test_week_forms():
-    for texts, want in [
+_MONTH_DAY = re.compile(r"\b(" + "|".join(sorted(weekly.MONTH_NAMES, key=len, reverse=True)) + r")\.?\s+(\d{1,2})(?:st|nd|rd|th)?(?:\s*,?\s*((?:19|20)\d{2}))?", re.I)
+
+
+def plain_week(*texts):
+    """The rule in plain Python, text by text."""
+    for raw in texts:
+        text = re.sub(r"[-_/]+", " ", raw) if "://" in raw or re.fullmatch(r"[\w\-/.:]+", raw) else raw
+        days = [(weekly.MONTH_NAMES[m[1].lower()], int(m[2]), int(m[3]) if m[3] else None) for m in _MONTH_DAY.finditer(text)]
+        if len(days) == 1 and days[0][2] is None:
+            behind = re.match(r"\s*(?:-|–|—|through|thru|to)?\s*(\d{1,2})\s*,?\s*((?:19|20)\d{2})\b", text[_MONTH_DAY.search(text).end() :], re.I)
+            days = [(days[0][0], d, int(behind[2])) for d in (days[0][1], int(behind[1]))] if behind else days
+        known = []
+        for k, (month, day, year) in enumerate(days[:2]):
+            later = [d[2] for d in days[k + 1 :] if d[2]]
+            year = later[0] - (days[k + 1][0] < month) if year is None and later else year
+            try:
+                known += [date(year, month, day).isoformat()] if year else []
+            except ValueError:
+                pass
+        if known:
+            return ("", known[0]) if len(known) == 1 or re.search(r"week\s+ending", text, re.I) else (known[0], known[-1])
+    return "", ""
+
+
+def weeks(spark, rows):
+    made = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, a string, b string, c string")
+    return [tuple(r.w) for r in made.select("k", weekly.report_week(F.col("a"), F.col("b"), F.col("c")).alias("w")).orderBy("k").collect()]
+
+
+def test_week_forms(spark):
+    cases = [
         (("November 15 — November 19, 2010",), ("2010-11-15", "2010-11-19")),
         (("Week Ending July 9, 1999",), ("", "1999-07-09")),
         (("December 29 – January 2, 2026",), ("2025-12-29", "2026-01-02")),
         (("", "https://n/weekly-activity-report-july-5-9-2004/"), ("2004-07-05", "2004-07-09")),
         (("September 4-8, 2006",), ("2006-09-04", "2006-09-08")),
         (("nothing",), ("", "")),
-    ]:
-        assert weekly.week_of(*texts) == want
+        (("Week ending March 1 - March 5, 2004",), ("", "2004-03-01")),
+        (("February 30, 2004", "May 3, 2004"), ("", "2004-05-03")),
+    ]
+    rows = [(*texts, *[""] * (3 - len(texts))) for texts, _ in cases]
+    assert weeks(spark, rows) == [want for _, want in cases] == [plain_week(*r) for r in rows]
+
+
+PIECE = st.sampled_from(["January ", "Febuary ", "dec. ", "May ", "Sept ", "7", "28", "30", "31st", "1", ", ", " - ", "-", " through ", " to ", "2004", "1999", " 2010", "week ending ", "https://x/", "_", "Marching ", "é", "\n"])
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(*[st.lists(PIECE, max_size=8).map("".join)] * 3), min_size=40, max_size=80))
+def test_weeks_against_the_plain_rule(spark, rows):
+    assert weeks(spark, rows) == [plain_week(*r) for r in rows]
 
 
 def test_weekly_reports(spark):
