@@ -7,10 +7,15 @@ says of it varies with the number, so that fallbacks and empty values occur besi
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import to_wide
+from ..udf import arrow_udf
 from . import cases, dataset, feeds, layouts, listings  # noqa: F401  (registers the datasets)
 from .roundtrip import AS_OF, query, read
 
@@ -258,6 +263,53 @@ def dataset_hawaii(spark, sf_dir):
     return made.select("unit_number", "bargaining_unit_name", "union_name", "contact_name", "contact_title", "recertified", "certification_date")
 
 
+#: The heading of a tally, with its two columns of challenged ballots.
+_TALLY = "Code   Employer   Union   Unit".ljust(92) + "Pop Cast Yes No   Challenged   Challenged"
+_UNIT = "printf('%03d.%04d', s_suppkey % 1000, s_suppkey // 1000)"
+
+
+@query(f"""SELECT 'WI_WERC:2026_spring:' || {_UNIT} AS row_key, 'City of ' || {TOWN} AS employer_name, 'AFSCME Local ' || {K} AS union_name, 'Clerks and Aides' AS bargaining_unit_name, CAST(45 + s_suppkey % 12 AS VARCHAR) AS votes_yes,
+  CASE WHEN s_suppkey % 5 = 0 THEN '' WHEN s_suppkey % 12 >= 6 THEN 'true' ELSE 'false' END AS meets_51pct_threshold, CASE s_suppkey % 4 WHEN 1 THEN '2' WHEN 3 THEN '4' ELSE '' END AS challenged_unit_population,
+  CASE s_suppkey % 4 WHEN 2 THEN '3' WHEN 3 THEN '5' ELSE '' END AS challenged_votes, '2026-03-18' AS election_open_date, 'April 8, 2026' AS tally_as_of, {TOWN} AS jurisdiction_city FROM supplier""")
+def dataset_wisconsin(spark, sf_dir):
+    """Tally lines: a threshold of the unit, units of nobody, challenged ballots by the heading that is nearer."""
+    s = _suppliers(spark, sf_dir)
+    left, right = _TALLY.index("Challenged"), _TALLY.rindex("Challenged")
+    pop = F.when(F.col("s_suppkey") % 5 == 0, 0).otherwise(100)
+    names = F.concat(F.format_string("%03d.%04d", F.col("s_suppkey") % 1000, F.floor(F.col("s_suppkey") / 1000)), filled("   City of {town}   AFSCME Local {k}   Clerks and  Aides"))
+    line = F.concat(F.rpad(names, 92, " "), F.format_string("%d  60  %d  9", pop, F.col("s_suppkey") % 12 + 45))
+    at = lambda c, n, value: F.concat(F.rpad(c, n, " "), F.lit(value))
+    kind = F.col("s_suppkey") % 4
+    line = F.when(kind == 1, at(line, left, "2")).when(kind == 2, at(line, right, "3")).when(kind == 3, at(at(line, left, "4"), right, "5")).otherwise(line)
+    text = F.concat(F.lit(f"VOTES CAST AS OF April 8, 2026 IN ANNUAL\nCONDUCTED 3/18/2026 THROUGH 4/7/2026\n{_TALLY}\n"), line)
+    made = run(spark, "werc-election-results", documents=s.select(filled("https://w.example/2026-spring-results-{k}x.pdf").alias("url"), text.alias("text")))
+    return made.select("row_key", "employer_name", "union_name", "bargaining_unit_name", "votes_yes", "meets_51pct_threshold", "challenged_unit_population", "challenged_votes", "election_open_date", "tally_as_of", "jurisdiction_city")
+
+
+@arrow_udf("binary")
+def _archive(names: pd.Series) -> pd.Series:
+    """An archive of empty files of these names."""
+
+    def packed(members) -> bytes:
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w") as z:
+            for name in members:
+                z.writestr(name, "")
+        return data.getvalue()
+
+    return pd.Series([packed(x) for x in names], dtype="object")
+
+
+@query(f"""SELECT '34-' || {K} AS case_number, {TOWN} || ' Sch. Bd' AS employer_name, {TOWN} || ' EA' AS union_name, 'ARBITRATION' AS canonical_case_type, 'VT_VLRB:34-' || {K} || ':34-' || {K} || ' ' || {TOWN} || ' EA v. ' || {TOWN} || ' Sch. Bd.pdf' AS row_key FROM supplier
+UNION ALL SELECT '35-' || {K}, 'State of Vermont', CASE WHEN s_suppkey % 2 = 1 THEN 'Gr. of VSEA' ELSE '' END, 'ARBITRATION', 'VT_VLRB:35-' || {K} || ':35-' || {K} || ' Gr. of ' || CASE WHEN s_suppkey % 2 = 1 THEN 'VSEA' ELSE {TOWN} END || '.pdf' FROM supplier""")
+def dataset_vermont(spark, sf_dir):
+    """The names of files in archives: parties, grievances of unions and of persons; what is no PDF is left out, repeats of a later volume too."""
+    s = _suppliers(spark, sf_dir)
+    members = F.array(filled("v/34-{k} {town} EA v. {town} Sch. Bd.pdf"), F.concat(filled("35-{k} Gr. of "), odd("VSEA", "{town}"), F.lit(".pdf")), F.lit("notes.txt"), filled("34-{k} {town} EA v. {town} Sch. Bd.pdf"))
+    archives = s.select(filled("https://v.example/V34-{k}.zip").alias("url"), F.lit("34").alias("volume_number"), F.lit("Volume 34").alias("volume_label"), _archive(members).alias("content"))
+    return run(spark, "vt-vlrb-volume-decisions", archives=archives).select("case_number", "employer_name", "union_name", "canonical_case_type", "row_key")
+
+
 @query(f"""SELECT 'ak-alra-board-decisions' AS slug, 'AK_ALRA:' || {K} || ':17-' || {K} || '-' || ['ULP', 'RC', 'UC'][s_suppkey % 3 + 1] AS row_key,
   row_number() OVER (ORDER BY CASE WHEN length({K}) < 6 THEN lpad({K}, 6, '0') ELSE {K} END, '17-' || {K} || '-' || ['ULP', 'RC', 'UC'][s_suppkey % 3 + 1]) AS position FROM supplier
 UNION ALL SELECT 'fl-perc-certifications', 'FL_PERC:' || {K}, row_number() OVER (ORDER BY s_suppkey) FROM supplier
