@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import roles
 from ..schema import to_wide
 from ..udf import arrow_udf
 from . import cases, dataset, feeds, layouts, listings  # noqa: F401  (registers the datasets)
@@ -263,6 +264,14 @@ def dataset_hawaii(spark, sf_dir):
     return made.select("unit_number", "bargaining_unit_name", "union_name", "contact_name", "contact_title", "recertified", "certification_date")
 
 
+@query(f"SELECT s_suppkey, 'City of ' || {TOWN} AS employer_name, 'AFSCME Local ' || {K} AS union_name FROM supplier")
+def cross_petitions(spark, sf_dir):
+    """Case names of four parties, two captions in one, in either order, and petitions filed jointly."""
+    forms = ("City of {town} v. AFSCME Local {k} and AFSCME Local {k} v. City of {town}", "AFSCME Local {k} v. City of {town} & City of {town} v. AFSCME Local {k}", "Petition for Clarification jointly filed by City of {town} and AFSCME Local {k}")
+    name = F.element_at(F.array(*map(filled, forms)), (F.col("s_suppkey") % 3 + 1).cast("int"))
+    return _suppliers(spark, sf_dir).withColumn("r", roles.caption_roles(name)).select("s_suppkey", F.col("r.employer").alias("employer_name"), F.col("r.union").alias("union_name"))
+
+
 #: The heading of a tally, with its two columns of challenged ballots.
 _TALLY = "Code   Employer   Union   Unit".ljust(92) + "Pop Cast Yes No   Challenged   Challenged"
 _UNIT = "printf('%03d.%04d', s_suppkey % 1000, s_suppkey // 1000)"
