@@ -60,7 +60,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secrets", hide_secrets), ("packing", pack)]
 #: SQL states neither the classifier nor the tokenizer. The tests hold language, near duplicates, decontamination and packing against
-#: plain versions (letters, all pairs, edit distance, the tokenizer itself), secrets against op1's findings, which its own tests check.
+#: plain versions (letters, all pairs, edit distance, the tokenizer itself), secrets against planted values.
 ORACLE_SQL = None
 
 
