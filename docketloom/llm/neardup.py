@@ -7,17 +7,20 @@ are banded as sharply as long ones. Registers are banded; documents that share a
 
 What follows is exact on the candidates. Equal sets are one class and only its smallest id goes on. Each bucket hangs its
 members on its smallest one, its hub, so a bucket of n gives n pairs; these are judged by sketches, the low byte of every
-register: a pair whose estimate lies more than five standard deviations below the threshold isn't near. A bucket in which a
-member isn't near its hub is searched by sketches from each document reached, so that no near pair in it is missed. Components
-of what is near, and not of what merely shares a bucket, are then searched for true links inside: from each document reached,
-those not yet reached are compared, first by the collision-corrected estimate of the registers, then on full sets. As linked
-documents leave the search, a group of near copies costs about one comparison a document. A bucket of more than ``members``
-documents and a component of more than ``most`` shingles are dealt to blocks, and each pair of blocks is a task, so no task
-holds more than two blocks and no pair is left out.
+register: a pair whose estimate lies more than five standard deviations below the threshold isn't near. Members near their hub
+are joined by it; only the others, the bucket's open ones, are searched by sketches, among themselves and against the joined.
+Where more than ``members`` are open, the bucket is parted first: its documents get a key for each two such buckets that they
+are both in, which is a band of twice the length, and hubs again, and only what stays open there is searched. Components of
+what is near, and not of what merely shares a bucket, are then searched for true links inside: from each document reached, those
+not yet reached are compared, first by the collision-corrected estimate of the registers, then on full sets. As linked documents
+leave the search, a group of near copies costs about one comparison a document. A component of more than ``most`` shingles is
+dealt to blocks, each document to one and the smallest to all; then only what isn't linked with the largest part so found is
+open. Open documents too are dealt to blocks, and each pair of blocks of which one is open is a task, so no task holds more than
+two blocks and no pair is left out.
 
 The 384 registers are cut into bands of as many registers as still miss a pair at the threshold with a probability of at most
-``MISS``: at 0.85 48 bands of 8, (1 - 0.85^8)^48 = 2.4e-7; at 0.8 64 bands of 6, 3.6e-9. A link is lost only where no other path
-joins its documents.
+``MISS``: at 0.85 48 bands of 8, (1 - 0.85^8)^48 = 2.4e-7; at 0.8 64 bands of 6, 3.6e-9. A pair whose only common buckets are parted
+must share two: it is missed with 4.4e-6 and 8.4e-8. A link is lost only where no other path joins its documents.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing; fewer words than a shingle are one
 sequence; copies link; rows that share a doc_id count as one document; a row without an id joins its
@@ -167,9 +170,8 @@ def near(one: tuple, many: tuple, percent: int) -> np.ndarray:
     return out
 
 
-def reached(n: int, linked) -> Iterator[tuple[int, int]]:
-    """(first of its group, member) for all that ``linked(x, others)``, which gives those of ``others`` linked with x, joins."""
-    left = np.arange(n)
+def reached(left: np.ndarray, linked) -> Iterator[tuple[int, int]]:
+    """(first of its group, member) for all of ``left`` that ``linked(x, others)``, which gives those of ``others`` linked with x, joins."""
     while len(left):
         root, left = int(left[0]), left[1:]
         front = [root]
@@ -181,20 +183,36 @@ def reached(n: int, linked) -> Iterator[tuple[int, int]]:
             left = left[~np.isin(left, found)] if len(found) else left
 
 
-def bucket_links(ids: np.ndarray, sketches: np.ndarray, used: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
-    """(id, id) edges that join the documents of one bucket as near pairs do."""
+def joined(is_open: np.ndarray, linked) -> Iterator[tuple[int, int]]:
+    """Pairs that join the open as all links do, with each other and with the rest, which is joined already."""
+    left, rest = np.flatnonzero(is_open), np.flatnonzero(~is_open)
+    home, done = {}, set()
+    for a, b in reached(left, linked):
+        home[b] = a
+        yield a, b
+    for x in left.tolist():
+        group = home.get(x, x)
+        if len(rest) and group not in done:
+            found = linked(x, rest)
+            if len(found):
+                done.add(group)
+                yield x, int(found[0])
+
+
+def bucket_links(ids: np.ndarray, is_open: np.ndarray, sketches: np.ndarray, used: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """(id, id) edges that join the open documents of one bucket as near pairs do."""
 
     def linked(x: int, others: np.ndarray) -> np.ndarray:
         return others[near((sketches[x], used[x], sizes[x]), (sketches[others], used[others], sizes[others]), percent)]
 
-    for a, b in reached(len(ids), linked):
+    for a, b in joined(is_open, linked):
         yield int(ids[a]), int(ids[b])
 
 
-def links(ids: list[int], sets: list[np.ndarray], filled: np.ndarray, used: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
-    """(smallest id, id) for each document that true links join to a smaller one inside this group."""
+def links(ids: list[int], is_open: np.ndarray, sets: list[np.ndarray], filled: np.ndarray, used: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """(id, id) edges that join the open documents of this group as true links do."""
     order = np.argsort(np.array(ids), kind="stable")
-    ids, sets, filled, used = [ids[k] for k in order], [sets[k] for k in order], filled[order], used[order]
+    ids, is_open, sets, filled, used = [ids[k] for k in order], is_open[order], [sets[k] for k in order], filled[order], used[order]
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     own = trust(used)
 
@@ -211,29 +229,40 @@ def links(ids: list[int], sets: list[np.ndarray], filled: np.ndarray, used: np.n
         shared = np.add.reduceat((sets[x][at] == flat).astype(np.int64), np.cumsum(n) - n)
         return tried[100 * shared >= percent * (n + sizes[x] - shared)]
 
-    for a, b in reached(len(ids), linked):
+    for a, b in joined(is_open, linked):
         yield ids[a], ids[b]
 
 
 def in_blocks(members: DataFrame, group: str, node: str, size: Column, most: int) -> DataFrame:
-    """``members`` with i and j: each pair of blocks of a group, whose blocks hold about ``most`` of ``size`` each, is (group, i, j)."""
-    blocks = members.groupBy(group).agg(F.ceil(F.sum(size) / most).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64(node), F.col("blocks")).cast("int")
-    dealt = members.join(blocks, group).withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))}).filter("blocks = 1 or own <> other")
-    return dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("own", "other", "blocks")
+    """``members`` (with a boolean ``open``) with i and j: the open and the rest of a group are dealt to blocks of about ``most``
+    of ``size`` each, and each pair of blocks of which one is open is (group, i, j). A group that fits is one block; one without
+    open members has none."""
+    total = lambda which: F.sum(F.when(which, size).otherwise(0))
+    fits = F.sum(size) <= most
+    blocks = members.groupBy(group).agg(
+        F.when(fits, 1).otherwise(F.ceil(total(F.col("open")) / most)).cast("int").alias("opens"),
+        F.when(fits, 0).otherwise(F.ceil(total(~F.col("open")) / most)).cast("int").alias("rests"),
+        F.max("open").alias("some"),
+    ).filter("some").drop("some")
+    place, last = F.xxhash64(node), F.col("opens") + F.col("rests") - 1
+    own = F.when(F.col("open") | (last == 0), F.pmod(place, "opens")).otherwise(F.col("opens") + F.pmod(place, F.greatest("rests", F.lit(1)))).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.when(F.col("open"), last).otherwise(F.col("opens") - 1)))
+    dealt = members.join(blocks, group).withColumns({"own": own, "other": other}).filter("opens + rests = 1 or own <> other")
+    return dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("own", "other", "opens", "rests")
+
+
+def doubled(sketched: DataFrame, heavy: DataFrame) -> DataFrame:
+    """(rep, key) for each two of the buckets ``heavy`` (key) that a text of ``sketched`` is in; a text is in few, its bands."""
+    keys = sketched.select("rep", "h1", "h2", F.explode("bands").alias("key")).join(heavy, "key", "left_semi")
+    keys = keys.groupBy("rep", "h1", "h2").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    pairs = F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y)))
+    return keys.select("rep", F.explode(F.flatten(pairs)).alias("key"))
 
 
 def candidate_links(sketched: DataFrame, percent: int, members: int) -> DataFrame:
     """(a, b) edges that join the documents of ``sketched`` (rep, h1, h2, bands, sketch, used, n) which share a band and are near.
     A rep with several texts has a sketch for each."""
-    rows = sketched.select("rep", F.explode("bands").alias("key"))
-    hubs = cut(rows.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub < last").select("key", "hub"))
-    shared = cut(rows.join(hubs, "key"))
-    pairs = shared.filter("rep > hub").select("rep", "hub").distinct()
     sketch = ("sketch", "used", "n")
-    known = sketched.join(shared.select("rep").distinct(), "rep", "left_semi").groupBy("rep", "h1", "h2").agg(*(F.first(c).alias(c) for c in sketch))
-    known = cut(known.select("rep", *sketch))
-    pairs = pairs.join(known, "rep").join(known.select(F.col("rep").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in sketch)), "hub")
 
     def stacked(batch: pa.RecordBatch, prefix: str = "") -> tuple:
         flat, _ = utf8(batch.column(f"{prefix}sketch"))
@@ -242,22 +271,44 @@ def candidate_links(sketched: DataFrame, percent: int, members: int) -> DataFram
     def judge(batch: pa.RecordBatch) -> dict:
         return {"rep": batch.column("rep"), "hub": batch.column("hub"), "near": pa.array(near(stacked(batch), stacked(batch, "hub_"), percent))}
 
-    judged = cut(per_batch(pairs, judge, "rep long, hub long, near boolean", "sketch"))
-    edges = judged.filter("near").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    far = judged.filter("not near")
-    if far.isEmpty():
+    def with_hubs(rows: DataFrame) -> DataFrame:
+        """(rep, key, hub) of the buckets that several documents share."""
+        hubs = cut(rows.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub < last").select("key", "hub"))
+        return cut(rows.join(hubs, "key"))
+
+    def settled(shared: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """(edges to near hubs; key, rep and open of the buckets in which a member isn't near its hub)."""
+        pairs = shared.filter("rep > hub").select("rep", "hub").distinct()
+        pairs = pairs.join(known, "rep").join(known.select(F.col("rep").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in sketch)), "hub")
+        judged = cut(per_batch(pairs, judge, "rep long, hub long, near boolean", "sketch"))
+        edges = judged.filter("near").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+        far = judged.filter("not near")
+        if far.isEmpty():
+            return edges, None
+        far = far.select("rep", "hub", F.lit(True).alias("open")).distinct()
+        marked = cut(shared.join(far, ["rep", "hub"], "left").select("key", "rep", F.coalesce("open", F.lit(False)).alias("open")).distinct())
+        return edges, cut(marked.join(marked.filter("open").select("key").distinct(), "key", "left_semi"))
+
+    shared = with_hubs(sketched.select("rep", F.explode("bands").alias("key")))
+    known = sketched.join(shared.select("rep").distinct(), "rep", "left_semi").groupBy("rep", "h1", "h2").agg(*(F.first(c).alias(c) for c in sketch))
+    known = cut(known.select("rep", *sketch))
+    edges, inside = settled(shared)
+    if inside is None:
         return edges
-    unsettled = shared.join(far, ["rep", "hub"], "left_semi").select("key").distinct()
-    inside = in_blocks(cut(rows.join(unsettled, "key", "left_semi").distinct()), "key", "rep", F.lit(1), members)
+    heavy = cut(inside.filter("open").groupBy("key").count().filter(F.col("count") > members).select("key"))
+    if not heavy.isEmpty():
+        more, parted = settled(with_hubs(cut(doubled(sketched, heavy))))
+        edges, inside = edges.union(more), inside.join(heavy, "key", "left_anti")
+        inside = inside if parted is None else inside.union(parted)
     group = ["key", "i", "j"]
-    grouped = inside.join(known, "rep").repartition(*group).sortWithinPartitions(*group, "rep")
+    grouped = in_blocks(inside, "key", "rep", F.lit(1), members).join(known, "rep").repartition(*group).sortWithinPartitions(*group, "rep")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held in grouped_rows(batches, group):
             parts = [stacked(b) for b in held]
-            ids = np.concatenate([b.column("rep").to_numpy() for b in held])
+            ids, is_open = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]) for c in ("rep", "open"))
             if len(ids) > 1:
-                found = list(bucket_links(ids, *(np.concatenate([p[k] for p in parts]) for k in range(3)), percent))
+                found = list(bucket_links(ids, is_open, *(np.concatenate([p[k] for p in parts]) for k in range(3)), percent))
                 yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return edges.union(grouped.mapInArrow(search, "a long, b long"))
@@ -283,7 +334,7 @@ def grouped_rows(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterato
         yield last, held
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, most: int = 2_000_000, members: int = 50_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, most: int = 2_000_000, members: int = 10_000) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
     bands, _ = banding(percent)
@@ -306,17 +357,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, most: in
     candidates = components(candidate_links(sketched, percent, members))
 
     placed_in = cut(candidates.join(classes.groupBy("rep").agg(F.max("n_shingles").alias("n")), candidates.node == F.col("rep")).select("node", "root", "n"))
-    dealt = in_blocks(placed_in, "root", "node", F.col("n"), most).select("node", "root", "i", "j")
     group = ["root", "i", "j"]
-    grouped = docs.join(dealt, docs.doc_id == dealt.node).select(*group, "node", "text").repartition(*group).sortWithinPartitions(*group)
+
+    def true_links(dealt: DataFrame) -> DataFrame:
+        """(a, b) edges inside the groups (root, i, j) to which documents (node, open) are dealt."""
+        rows = docs.join(dealt, docs.doc_id == dealt.node).select(*group, "node", "open", "text")
+        return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(search, "a long, b long")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         last = None
 
         def found() -> pa.RecordBatch:
-            ids, sets, filled, used = zip(*held, strict=True)
-            pairs = list(links(list(ids), list(sets), np.stack(filled), np.array(used), percent))
+            ids, is_open, sets, filled, used = zip(*held, strict=True)
+            pairs = list(links(list(ids), np.array(is_open), list(sets), np.stack(filled), np.array(used), percent))
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
@@ -324,7 +378,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, most: in
                 sets = shingle_sets(*utf8(part.column("text")), words)
                 filled, used = registers(sets)
                 keys = zip(*(part.column(c).to_pylist() for c in group), strict=True)
-                for key, row in zip(keys, zip(part.column("node").to_pylist(), sets, filled, used, strict=True), strict=True):
+                for key, row in zip(keys, zip(part.column("node").to_pylist(), part.column("open").to_pylist(), sets, filled, used, strict=True), strict=True):
                     if key != last and len(held) > 1:
                         yield found()
                     if key != last:
@@ -333,7 +387,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = 5, most: in
         if len(held) > 1:
             yield found()
 
-    linked = components(grouped.mapInArrow(search, "a long, b long"))
+    parts = placed_in.groupBy("root").agg(F.ceil(F.sum("n") / most).cast("int").alias("parts"))
+    own = F.when(F.col("node") == F.col("root"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), "parts").cast("int")))
+    dealt = placed_in.join(parts, "root").withColumn("i", F.explode(own))
+    edges = true_links(dealt.select("node", "root", "i", F.lit(0).alias("j"), F.lit(True).alias("open")))
+    large = cut(parts.filter("parts > 1").select("root"))
+    if not large.isEmpty():
+        edges = cut(edges)
+        within = placed_in.join(large, "root", "left_semi")
+        found = components(edges.join(within.select(F.col("node").alias("a")), "a", "left_semi")).withColumnRenamed("root", "part")
+        within = cut(within.join(found, "node", "left").withColumn("part", F.coalesce("part", "node")))
+        counted = within.groupBy("root", "part").agg(F.count("*").alias("of"))
+        main = counted.groupBy("root").agg(F.max_by("part", F.struct("of", "part")).alias("main"))
+        apart = cut(within.join(main, "root").select("node", "root", "n", (F.col("part") != F.col("main")).alias("open")))
+        edges = edges.union(true_links(in_blocks(apart, "root", "node", F.col("n"), most).select("node", "root", "i", "j", "open")))
+    linked = components(edges)
     roots = linked.select(F.col("node").alias("rep"), "root")
     placed = known.select("doc_id", *equal).join(classes, equal, "left").join(roots, "rep", "left")
     component = F.coalesce("root", "rep", "doc_id")

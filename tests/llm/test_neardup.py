@@ -54,7 +54,7 @@ def test_against_all_pairs(spark):
         docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
         want = brute(rows)
         assert got(near_duplicates(docs)) == want
-        assert got(near_duplicates(docs, most=400, members=3)) == want  # buckets and groups dealt to pairs of blocks
+        assert got(near_duplicates(docs, most=400, members=3)) == want  # buckets parted, groups dealt to blocks
 
 
 def test_odd_documents(spark, odd_docs):
@@ -103,6 +103,80 @@ def test_half_a_template_makes_no_candidates(spark):
     assert seen[0] < 200 and seen[1] == 10
 
 
+def template_pages(seed, n=160):
+    """Pages that share three quarters of their text, near copies of some, and chains of small changes away from one page."""
+    rng = np.random.default_rng(seed)
+    template = [f"t{k}" for k in rng.integers(0, 10_000, 300)]
+    pages = [[*template, *(f"w{k}" for k in rng.integers(0, 50_000, 60))] for _ in range(n)]
+    for k in range(0, n // 4):
+        pages.append([*pages[k], *(f"more{k}x{j}" for j in range(k % 9))])
+    chain = list(pages[5])
+    for k in range(24):
+        chain = [*chain[:-6], *(f"c{k}x{j}" for j in range(6))] if k % 2 else [f"d{k}x{j}" for j in range(8)] + chain[8:]
+        pages.append(list(chain))
+    order = rng.permutation(len(pages))
+    return [(int(i), " ".join(page)) for i, page in zip(order, pages)]
+
+
+def test_a_bucket_of_mutually_far_pages_is_parted(spark):
+    rows = template_pages(8)
+    docs, want = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), brute(rows)
+    assert len({root for _, root in want.values()}) < len(rows) - 40
+    parted = []
+    doubled = neardup.doubled
+    neardup.doubled = lambda *frames: parted.append(1) or doubled(*frames)
+    try:
+        assert got(near_duplicates(docs)) == want and not parted
+        assert got(near_duplicates(docs, members=8)) == want and parted
+        assert got(near_duplicates(docs, members=8, most=3000)) == want
+    finally:
+        neardup.doubled = doubled
+
+
+def test_keys_of_two_buckets(spark):
+    texts = [(1, 10, 10, [5, 6, 7, 8]), (2, 11, 11, [6, 7, 5]), (2, 12, 12, [5, 9]), (3, 13, 13, [])]
+    sketched = spark.createDataFrame(texts, "rep long, h1 long, h2 long, bands array<long>")
+    heavy = spark.createDataFrame([(5,), (6,), (7,)], "key long")
+    found = [(r.rep, r.key) for r in neardup.doubled(sketched, heavy).collect()]
+    keys = {k for _, k in found}
+    assert len(found) == 6 and len(keys) == 3 and {i for i, _ in found} == {1, 2}  # one key for each two, the same in both
+
+
+def test_blocks_hold_each_open_pair_and_are_bounded(spark):
+    rng = np.random.default_rng(9)
+    for n, share, most in ((40, 0.5, 7), (40, 1.0, 7), (30, 0.1, 6), (5, 0.4, 9), (12, 0.0, 4)):
+        rows = [(0, k, bool(rng.random() < share)) for k in range(n)]
+        dealt = neardup.in_blocks(spark.createDataFrame(rows, "g int, x long, open boolean"), "g", "x", neardup.F.lit(1), most).collect()
+        tasks = {}
+        for r in dealt:
+            tasks.setdefault((r.i, r.j), set()).add(r.x)
+        held = {frozenset((a, b)) for t in tasks.values() for a in t for b in t if a != b}
+        assert {frozenset((a, b)) for _, a, x in rows for _, b, y in rows if a != b and (x or y)} <= held
+        assert len(dealt) == sum(map(len, tasks.values()))  # nobody is twice in a task
+        if share == 0.1:  # the rest is copied once for each block of the open
+            opens = -(-sum(x for *_, x in rows) // most)
+            assert all(sum(k in t for t in tasks.values()) == opens for _, k, x in rows if not x)
+
+
+def test_a_large_group_is_joined_without_all_pairs_of_blocks(spark):
+    """Near copies of one page: after one pass over their blocks nothing is open."""
+    rng = np.random.default_rng(10)
+    page = [f"p{k}" for k in rng.integers(0, 10_000, 200)]
+    rows = [(i, " ".join([*page, f"own{i}"])) for i in range(120)] + [(500 + i, " ".join([*page[:160], *(f"o{i}x{j}" for j in range(12))])) for i in range(3)]
+    dealt, in_blocks = [], neardup.in_blocks
+
+    def watched(members, *rest):
+        dealt.append(members.filter("open").count())
+        return in_blocks(members, *rest)
+
+    neardup.in_blocks = watched
+    try:
+        assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), most=2500)) == brute(rows)
+    finally:
+        neardup.in_blocks = in_blocks
+    assert dealt[-1] <= 3
+
+
 def test_near_misses_no_link():
     rng = np.random.default_rng(7)
     missed = 0
