@@ -28,10 +28,10 @@ def islands(df: DataFrame, boundary: Column, doc: list[str], pos: str = "pos", n
 
 
 def fill_continuations(df: DataFrame, columns: list[str], reset: Column, doc: list[str], pos: str = "pos") -> DataFrame:
-    """Blank cells take the value of the row above, chained, but never across a reset row."""
-    marked = islands(df, reset, doc, pos, "_stretch")
-    filled = carry_forward(marked, {c: F.nullif(F.trim(F.col(c)), F.lit("")) for c in columns}, [*doc, "_stretch"], pos)
-    return filled.fillna("", subset=columns).drop("_stretch")
+    """Blank cells take the value of the row above, chained, but never across a reset row. A reset row's blank cell counts as a value,
+    so one window in the rows' order does both, and a task sorts its rows once."""
+    shown = {c: F.coalesce(F.nullif(F.trim(F.col(c)), F.lit("")), F.when(reset, F.lit(""))) for c in columns}
+    return carry_forward(df, shown, doc, pos).fillna("", subset=columns)
 
 
 def until_next(df: DataFrame, start: str, end: Column, doc: list[str], name: str = "stop") -> DataFrame:

@@ -219,7 +219,7 @@ def case_ranges(spark, sf_dir):
 def continuation_rows(spark, sf_dir):
     """Rows below the first take the case above, inside their table."""
     li = read(spark, sf_dir, "lineitem")
-    first = F.min("l_linenumber").over(carry.Window.partitionBy("l_orderkey"))
+    first = F.min("l_linenumber").over(carry.Window.partitionBy("l_orderkey").orderBy("l_linenumber"))  # the order of the fill, so one sort serves both
     shown = li.select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_linenumber") == first, F.col("l_orderkey").cast("string")).otherwise(F.lit(" ")).alias("case_cell"), (F.col("l_linenumber") == first).alias("reset"))
     return carry.fill_continuations(shown, ["case_cell"], F.col("reset"), ["l_orderkey"], "l_linenumber").select("l_orderkey", "l_linenumber", "case_cell", "l_partkey")
 

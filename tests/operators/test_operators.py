@@ -3,12 +3,14 @@
 import csv
 import glob
 import json
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from docketloom import cli
 from docketloom.operators import carry, keys, quality, rules
+from docketloom.plans import roundtrip
 from docketloom.schema import CORE, across_agencies, flag, to_wide
 from docketloom.sources import landing, sinks, tables
 from docketloom.streaming import ingest
@@ -48,6 +50,22 @@ def test_carries(spark):
     assert carry.missing_numbers(spark.createDataFrame([], "id long"), "id").count() == 0
 
 
+def test_fills_sort_once(spark):
+    made = [("d", k, k % 7 == 3, ["", " ", None, f"v{k}"][k * k % 11 % 4]) for k in range(80)]
+    df = spark.createDataFrame(made, "doc string, pos int, edge boolean, cell string")
+    filled, above = carry.fill_continuations(df, ["cell"], F.col("edge"), ["doc"]), ""
+    got = [r.cell for r in filled.orderBy("pos").collect()]
+    for (_, _, edge, cell), seen in zip(made, got, strict=True):
+        above = (cell or "").strip() or ("" if edge else above)
+        assert seen == above
+    assert filled._jdf.queryExecution().sparkPlan().toString().count("Window ") == 1
+    folder = tempfile.mkdtemp()
+    spark.createDataFrame([(k // 5, k % 5 + 1, k) for k in range(50)], "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(f"{folder}/lineitem.parquet")
+    query = roundtrip.continuation_rows(spark, folder)
+    assert query._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+    assert all(r.case_cell == str(r.l_orderkey) for r in query.collect())
+
+
 def test_guards(spark):
     df = spark.createDataFrame([("a", "ok"), ("a", "no")], "row_key string, s string")
     with pytest.raises(quality.GuardError, match="repeated"):
