@@ -45,13 +45,12 @@ def page_events(spark, sf_dir):
 @query("SELECT o_orderkey, 'A-' || lpad(CAST(o_orderkey % 100000 AS VARCHAR), 5, '0') AS case_number, 'Carrier ' || o_custkey AS employer_name, 'UNION' || l_linenumber AS union_name, 'mediation_new_docket' AS section FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) JOIN orders ON l_orderkey = o_orderkey")
 def weekly_report_rows(spark, sf_dir):
     """Labelled report tables: sections, drifting headers, continuation rows; a report for each order."""
-    o, li = read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
-    lines = o.join(li, o.o_orderkey == li.l_orderkey)
-    first = F.col("l_linenumber") == F.min("l_linenumber").over(carry.Window.partitionBy("o_orderkey"))
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").repartition("l_orderkey").distinct().groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("lines"))
     case, carrier = F.concat(F.lit("A-"), F.lpad((F.col("o_orderkey") % 100000).cast("string"), 5, "0")), F.concat(F.lit("Carrier "), F.col("o_custkey").cast("string"))
-    shown = lambda c: F.when(first, c).otherwise(F.lit(""))
-    row = F.concat(F.lit("<tr><td>"), shown(case), F.lit("</td><td>"), shown(carrier), F.lit("</td><td>UNION"), F.col("l_linenumber").cast("string"), F.lit("</td><td>Crew</td></tr>"))
-    pages = _line_up(lines.select("o_orderkey", "l_linenumber", row.alias("row")), "o_orderkey", ["l_linenumber"], "row")
+    shown = F.concat(case, F.lit("</td><td>"), carrier)
+    row = lambda k, place: F.concat(F.lit("<tr><td>"), F.when(place == 0, shown).otherwise(F.lit("</td><td>")), F.lit("</td><td>UNION"), k.cast("string"), F.lit("</td><td>Crew</td></tr>"))
+    body = F.array_join(F.transform("lines", row), "")
+    pages = read(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", body.alias("body"))
     head = "<p>November 15 - November 19, 2010</p><p>Arbitration:</p><table><tr><td>A-1</td><td>x</td><td>y</td><td>z</td></tr></table><p>New Dockets:</p><table><tr><th>Case No.</th><th>Carrier</th><th>Org.</th><th>Class/Craft</th></tr>"
     pages = pages.select(F.concat(F.lit("https://n/"), F.col("o_orderkey").cast("string")).alias("source_url"), F.lit("i").alias("source_page_url"), F.concat(F.lit(head), "body", F.lit("</table>")).alias("html"))
     return weekly.parse_reports(pages).select(F.substring_index("source_url", "/", -1).cast("bigint").alias("o_orderkey"), "case_number", "employer_name", "union_name", "section")

@@ -20,3 +20,16 @@ def arrow_udf(returns: str) -> Callable:
         return on
 
     return declare
+
+
+def array_udf(returns: str) -> Callable:
+    """Like :func:`arrow_udf`, for a function from Arrow arrays to an Arrow array: nested results need no object for each element."""
+
+    def declare(f: Callable) -> Callable[..., Column]:
+        @wraps(f)
+        def on(*columns: Column | str) -> Column:
+            return F.arrow_udf(f, returns)(*columns)
+
+        return on
+
+    return declare

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docketloom.plans import cases, weekly  # noqa: F401
+from docketloom.sources import events
 
 from .helpers import check, run
 
@@ -117,6 +118,32 @@ def test_weekly_reports(spark):
     assert by["A-13000", "ALPA"]["row_key"] == "NMB-WAR:2010-11-19:MEDIATION-NEW-DOCKET:A-13000:ALPA:PILOTS"
 
 
+def test_reports_are_read_once_and_sorted_once(spark):
+    pages = spark.createDataFrame([("https://n/1", "i", "<p>New Dockets:</p>")], "source_url string, source_page_url string, html string")
+    plan = weekly.parse_reports(pages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and plan.count("Sort [") == 1
+
+
+MARKUP = st.sampled_from(["<p>", "</p>", "<br/>", "<table border=1>", "</table>", "<tr>", "</TR >", "<tr/>", "<td class='a b'>", "</td>", "<th>", "<title>", "</title>", "<script>", "</script>", "<!-- x -->", "< p", "a &amp; b", "&copy", "<p x=<b>>", "A-1", "Case No.", " \n", "</p x>", "<a href=x/>", "é<"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(MARKUP, max_size=25).map("".join))
+def test_plain_markup_reads_as_the_parser_reads_it(html):
+    reader = events._Reader()
+    reader.feed(html)
+    reader.close()
+    reader.end_run()
+    assert events.read_page(html) == ("".join(reader.title), reader.out)
+
+
+@given(st.lists(st.sampled_from(["Case No.", "C.a-se", "DOCKET", "Docket No", "Carrier", "carriers", "Carrier/Craft", "Employer", "Org.", "", "x", "Approx. Case", "dock", "(case)"]), max_size=5))
+def test_headings_against_all_patterns(cells):
+    under = [next((c for test, c in weekly.HEADINGS if re.fullmatch(test, re.sub(r"[^a-z0-9]+", "", cell.lower()))), ()) for cell in cells]
+    places = {c: k for k, columns in reversed([*enumerate(under)]) for c in columns}
+    assert weekly.heading_of(cells) == (places if {"case", "carrier"} <= places.keys() else None)
+
+
 def test_vertical_tables():
     cells = ["Case No.", "Carrier", "Org.", "Class/Craft", "A-1", "C", "O", "K"]
     made = weekly.regrouped([{"kind": "row", "text": "", "cells": [c]} for c in cells] + [{"kind": "text", "text": "x", "cells": []}])
