@@ -27,7 +27,9 @@ K = "CAST(s_suppkey AS VARCHAR)"
 
 
 def _suppliers(spark, sf_dir) -> DataFrame:
+    """The suppliers with their town, dealt out: they come in one small file, but what is made of each takes milliseconds to read."""
     s = read(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_suppkey").cast("string").alias("k"))
+    s = s.repartition(2 * spark.sparkContext.defaultParallelism, "s_suppkey")
     return s.withColumn("town", F.concat(F.lit("Town"), F.translate("k", "0123456789", "bcdfghjkmp")))
 
 

@@ -14,6 +14,7 @@ from ..operators.ordinals import with_places
 from ..schema import to_wide
 from ..sources import publish as publishing
 from ..sources.sinks import write_csv
+from ..written import settled
 
 REGISTRY: dict[str, Dataset] = {}
 PLACE = ("jurisdiction_city", "jurisdiction_state", "employer_street", "employer_zip")
@@ -52,13 +53,15 @@ class Dataset:
         return made.withColumns({k: F.lit(v) for k, v in fixed.items()})
 
     def table(self, frames: Mapping[str, DataFrame], scraped_at: str, as_of: str, staging: str | None = None) -> DataFrame:
-        """The dataset: checked, in order, its columns alone. With ``staging``, a folder, the rows are written there first, so that
-        guards, order and sink read them and nothing is parsed twice."""
+        """The dataset: checked, in order, its columns alone. The rows are written first, in the folder ``staging`` or else in the
+        session's shared one, so that guards, order and sink read them and nothing is parsed twice."""
         made = self.rows(frames, scraped_at, as_of)
         if staging:
             place = f"{staging.rstrip('/')}/{self.slug}"
             made.write.mode("overwrite").parquet(place)
             made = made.sparkSession.read.parquet(place)
+        else:
+            made = settled(made)
         quality.require(made, self.slug, least=self.least, unique="row_key" if self.unique else None)
         if self.totals:
             quality.require_totals(made, self.slug, *self.totals(frames))
