@@ -91,6 +91,11 @@ def test_week_forms(spark):
     assert weeks(spark, rows) == [want for _, want in cases] == [plain_week(*r) for r in rows]
 
 
+def test_a_week_binds_its_text(spark):
+    made = spark.range(1).select(weekly.report_week(F.concat(F.lit("bound once"), F.col("id").cast("string"))).alias("w"))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("bound once") == 1
+
+
 PIECE = st.sampled_from(["January ", "Febuary ", "dec. ", "May ", "Sept ", "7", "28", "30", "31st", "1", ", ", " - ", "-", " through ", " to ", "2004", "1999", " 2010", "week ending ", "https://x/", "_", "Marching ", "é", "\n"])
 
 
